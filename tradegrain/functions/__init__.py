@@ -1,4 +1,7 @@
 from tradegrain.functions.columns import (  # noqa: F401
+    AVERAGE,
+    MONEY,
+    PERCENT,
     canonical,
     contains_ignoring_case,
     is_one_of,

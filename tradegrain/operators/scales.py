@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -73,25 +73,30 @@ def add_scales(df: DataFrame, scales: Sequence[Scale], tie: str) -> DataFrame:
     """Add one column per scale. `tie` is a unique column; `df` should be a written table,
     since it is read once for the keys and once for the scores."""
     levels = _levels(df, scales, tie)
-    scored = df
+    few = levels.select("_scale", _group_name(F.col("_group")), F.to_json("_levels")).take(
+        LITERAL_GROUPS + 1)
+    scored, scores = df, {}
     for number, scale in enumerate(scales):
-        mine = levels.filter(F.col("_scale") == number).select("_group", "_levels")
         key = _sort_key(scale, tie)
-        few = mine.select(_group_name(F.col("_group")), F.to_json("_levels")).take(
-            LITERAL_GROUPS + 1)
         if scale.group is None or len(few) <= LITERAL_GROUPS:
-            found = _find_in_literal(few, mine.schema["_levels"].dataType, scale, key)
+            rows = (few if len(few) <= LITERAL_GROUPS else
+                    levels.filter(F.col("_scale") == number)
+                    .select("_scale", _group_name(F.col("_group")), F.to_json("_levels"))
+                    .collect())
+            found = _find_in_literal([r[1:] for r in rows if r[0] == number],
+                                     levels.schema["_levels"].dataType, scale, key)
         else:
-            mine = mine.toDF(f"_group_{number}", f"_levels_{number}")
+            mine = (levels.filter(F.col("_scale") == number)
+                    .select(F.col("_group").alias(f"_group_{number}"),
+                            F.col("_levels").alias(f"_levels_{number}")))
             scored = scored.join(mine, F.equal_null(F.col(scale.group).cast("string"),
                                                     F.col(f"_group_{number}")), "left")
             found = _find(F.col(f"_levels_{number}"), key, scale.max_levels)["level"]
-        score = F.coalesce(found, F.lit(scale.lowest).cast("double"))
-        scored = scored.withColumn(scale.name, score.cast(scale.type))
-    return scored.select(*df.columns, *[s.name for s in scales])
+        scores[scale.name] = F.coalesce(found, F.lit(scale.lowest).cast("double")).cast(scale.type)
+    return scored.select(*df.columns, *[score.alias(name) for name, score in scores.items()])
 
 
-def _find_in_literal(rows: Sequence[Row], levels: DataType, scale: Scale, key: Column) -> Column:
+def _find_in_literal(rows: Sequence[tuple], levels: DataType, scale: Scale, key: Column) -> Column:
     """The search over arrays held in the plan as one constant: no join, no copy per row."""
     arrays = "{" + ",".join(f"{json.dumps(group)}:{array}" for group, array in rows) + "}"
     constant = F.from_json(F.lit(arrays), f"map<string,{levels.simpleString()}>")
