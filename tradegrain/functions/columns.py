@@ -28,7 +28,8 @@ def margin_pct(profit: Column, revenue: Column) -> Column:
 
 
 def per_unit_of(total: Column, count: Column) -> Column:
-    return F.try_divide(total, count)
+    """total / count, with types that leave the quotient 16 decimals."""
+    return F.try_divide(total.cast("decimal(28,6)"), count.cast("decimal(12,0)"))
 
 
 def month_of(date: Column) -> Column:

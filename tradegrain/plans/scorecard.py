@@ -43,13 +43,16 @@ def base(customers: DataFrame, products: DataFrame, lines: DataFrame,
         customer_product_grain(known, products, anchor)
         .join(customers.select("customer_id", "segment"), "customer_id"), "grain")
     offers = next_best(customers, products, grain)
-    joined = (customers
-              .join(customer_rollup(grain), "customer_id", "left")
-              .join(offers, "customer_id", "left"))
+    return settle(activity(customers, customer_rollup(grain), anchor)
+                  .join(offers, "customer_id", "left"), "base")
+
+
+def activity(customers: DataFrame, rollup: DataFrame, anchor: Column) -> DataFrame:
+    """Every customer with what they did, absent sums as 0, and days since."""
     zero = F.lit(0)
     revenue, profit = F.col("lifetime_revenue"), F.col("lifetime_profit")
     r12_revenue, r12_profit = F.col("r12_revenue"), F.col("r12_profit")
-    return settle(joined.select(
+    return customers.join(rollup, "customer_id", "left").select(
         "customer_id", "customer_name", "region", "segment", "account_manager", "join_date",
         F.datediff(anchor, "join_date").alias("tenure_days"),
         F.coalesce("lifetime_orders", zero).alias("lifetime_orders"),
@@ -66,8 +69,7 @@ def base(customers: DataFrame, products: DataFrame, lines: DataFrame,
         F.datediff(anchor, "last_order_date").alias("recency_days"),
         F.coalesce("r12_orders", zero).alias("frequency_12m"),
         _money(r12_revenue).alias("monetary_12m"),
-        "top_category_1", "top_category_2",
-        "cross_sell_product_id", "cross_sell_product_name"), "base")
+        "top_category_1", "top_category_2")
 
 
 def score(card: DataFrame, nulls: Nulls = "reference") -> DataFrame:

@@ -1,19 +1,33 @@
 """The three entities: customers, products and order lines."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, DecimalType, IntegerType, StringType, StructType
 
-CUSTOMERS = StructType.fromDDL(
-    "customer_id int, customer_name string, region string, segment string,"
-    " account_manager string, join_date date")
+CUSTOMERS = (StructType()
+             .add("customer_id", IntegerType())
+             .add("customer_name", StringType())
+             .add("region", StringType())
+             .add("segment", StringType())
+             .add("account_manager", StringType())
+             .add("join_date", DateType()))
 
-PRODUCTS = StructType.fromDDL(
-    "product_id string, product_name string, category string,"
-    " list_price decimal(10,2), cost decimal(10,2), launch_date date")
+PRODUCTS = (StructType()
+            .add("product_id", StringType())
+            .add("product_name", StringType())
+            .add("category", StringType())
+            .add("list_price", DecimalType(10, 2))
+            .add("cost", DecimalType(10, 2))
+            .add("launch_date", DateType()))
 
 # One row per order line; order_id is the key of the line.
-ORDERS = StructType.fromDDL(
-    "order_id int, customer_id int, product_id string, order_date date, quantity int,"
-    " unit_price decimal(10,2), discount_pct decimal(5,2), currency string")
+ORDERS = (StructType()
+          .add("order_id", IntegerType())
+          .add("customer_id", IntegerType())
+          .add("product_id", StringType())
+          .add("order_date", DateType())
+          .add("quantity", IntegerType())
+          .add("unit_price", DecimalType(10, 2))
+          .add("discount_pct", DecimalType(5, 2))
+          .add("currency", StringType()))
 
 ENTITIES = {"customers": CUSTOMERS, "products": PRODUCTS, "orders": ORDERS}
 

@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Fixed values of these tables.
+STAR_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+STAR_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+STAR_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
 @dataclass(frozen=True)
 class Star:
     customers: DataFrame
@@ -81,7 +87,9 @@ def _unit_price() -> Column:
 def customers_with_issues(customers: DataFrame) -> DataFrame:
     number = F.col("customer_id")
     return customers.withColumns({
-        "region": F.when(number % 41 == 0, "EMEA").otherwise(F.col("region")),
+        "region": F.when(number % 41 == 0, "EMEA")
+                   .when(number % 43 == 0, F.concat(F.lit(" "), F.lower("region")))
+                   .otherwise(F.col("region")),
         "segment": F.when(number % 53 == 0, "TEST").otherwise(F.col("segment")),
         "customer_name": F.when(number % 59 == 0, F.concat(F.lit("QA Test "), "customer_name"))
                           .otherwise(F.col("customer_name")),
