@@ -34,10 +34,9 @@ def next_best(customers: DataFrame, products: DataFrame, bought: DataFrame,
     """
     todo = customers.select("customer_id", "segment")
     held = bought.select("customer_id", "segment", "product_id")
-    popularity = settle(
-        held.filter(F.col("segment").isNotNull())
-        .groupBy("segment", "product_id").agg(F.count(F.lit(1)).alias("buyers"))
-        .join(products.select("product_id", "product_name"), "product_id"), "popularity")
+    popularity = (held.filter(F.col("segment").isNotNull())
+                  .groupBy("segment", "product_id").agg(F.count(F.lit(1)).alias("buyers"))
+                  .join(products.select("product_id", "product_name"), "product_id"))
 
     rankings: list[Callable[[], DataFrame]] = [
         lambda: _top_of_segment(popularity, head),

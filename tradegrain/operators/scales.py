@@ -24,8 +24,8 @@ from tradegrain.session import settle
 
 _KEY = "decimal(38,8)"
 
-# Level arrays (each bounded by the scale's levels) of up to so many groups go into the plan
-# as a constant; those of more groups are joined.
+# Level arrays (each bounded by the scale's levels) go into the plan as constants if there are
+# at most so many in all; beyond that, those of the grouped scales are joined.
 LITERAL_GROUPS = 64
 
 
@@ -75,23 +75,28 @@ def add_scales(df: DataFrame, scales: Sequence[Scale], tie: str) -> DataFrame:
     levels = _levels(df, scales, tie)
     few = levels.select("_scale", _group_name(F.col("_group")), F.to_json("_levels")).take(
         LITERAL_GROUPS + 1)
+    if len(few) > LITERAL_GROUPS:
+        levels = settle(levels, "levels")
+        few = (levels.filter(F.col("_scale").isin(
+                   [i for i, scale in enumerate(scales) if scale.group is None]))
+               .select("_scale", _group_name(F.col("_group")), F.to_json("_levels")).collect())
+        joined = [i for i, scale in enumerate(scales) if scale.group is not None]
+    else:
+        joined = []
+
     scored, scores = df, {}
     for number, scale in enumerate(scales):
         key = _sort_key(scale, tie)
-        if scale.group is None or len(few) <= LITERAL_GROUPS:
-            rows = (few if len(few) <= LITERAL_GROUPS else
-                    levels.filter(F.col("_scale") == number)
-                    .select("_scale", _group_name(F.col("_group")), F.to_json("_levels"))
-                    .collect())
-            found = _find_in_literal([r[1:] for r in rows if r[0] == number],
-                                     levels.schema["_levels"].dataType, scale, key)
-        else:
+        if number in joined:
             mine = (levels.filter(F.col("_scale") == number)
                     .select(F.col("_group").alias(f"_group_{number}"),
                             F.col("_levels").alias(f"_levels_{number}")))
             scored = scored.join(mine, F.equal_null(F.col(scale.group).cast("string"),
                                                     F.col(f"_group_{number}")), "left")
             found = _find(F.col(f"_levels_{number}"), key, scale.max_levels)["level"]
+        else:
+            found = _find_in_literal([r[1:] for r in few if r[0] == number],
+                                     levels.schema["_levels"].dataType, scale, key)
         scores[scale.name] = F.coalesce(found, F.lit(scale.lowest).cast("double")).cast(scale.type)
     return scored.select(*df.columns, *[score.alias(name) for name, score in scores.items()])
 
@@ -138,8 +143,8 @@ def _levels(df: DataFrame, scales: Sequence[Scale], tie: str) -> DataFrame:
     step = F.struct(
         F.struct("_null", "_key", F.when(apart, F.col("_tie")).alias("_tie")).alias("key"),
         F.col("_next").alias("level"))
-    return settle(changes.groupBy("_scale", "_group")
-                  .agg(F.array_sort(F.collect_list(step)).alias("_levels")), "levels")
+    return (changes.groupBy("_scale", "_group")
+            .agg(F.array_sort(F.collect_list(step)).alias("_levels")))
 
 
 def _null_rank(scale: Scale) -> Column:
