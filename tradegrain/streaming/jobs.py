@@ -14,10 +14,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tradegrain.functions import line_revenue, month_of
+from tradegrain.operators.changes import as_of
 from tradegrain.operators.keys import keep_one
 from tradegrain.operators.rules import apply_rules, split
 from tradegrain.plans.medallion import Entity, normalise
-from tradegrain.plans.serving import append_changes
+from tradegrain.plans.serving import append_changes, read_history
 from tradegrain.sources.json_files import CORRUPT, with_lineage
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -141,6 +142,16 @@ def upsert_stream(changes: DataFrame, key: str, order: str, history_path: str,
     return _start(changes.writeStream.foreachBatch(write), checkpoint)
 
 
+def serving_copy(spark: SparkSession, history_path: str, key: str, order: str,
+                 version: int | None = None) -> DataFrame:
+    """The copy after a batch, by default the last: per key the change of greatest `order`, so
+    that a change that arrives late does not undo a newer one."""
+    history = read_history(spark, history_path)
+    if version is not None:
+        history = history.filter(F.col("version") <= version)
+    return as_of(history.drop("version"), key, order)
+
+
 def finish(query: StreamingQuery, seconds: int = 1800) -> None:
     """Wait for a query that stops by itself; raise if it fails or takes too long."""
     if not query.awaitTermination(seconds):

@@ -590,5 +590,4 @@ def stream_upsert(spark, folder):
     stream = jobs.table_stream(spark, f"{folder}/orders.parquet", orders.schema)
     changed = _order_changes(stream).withColumnRenamed("version", "order_id")
     jobs.finish(jobs.upsert_stream(changed, "customer_id", "order_id", history, state))
-    return changes.as_of(serving.read_history(spark, history), "customer_id", "version"
-                         ).drop("version")
+    return jobs.serving_copy(spark, history, "customer_id", "order_id")
