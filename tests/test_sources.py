@@ -102,13 +102,25 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_cluster_without_shared_folder_is_refused():
-    class Conf:
-        def get(self, key, default):
-            return default
+class Session:
+    """A session without spark.checkpoint.dir."""
+    def __init__(self, master):
+        self.conf = type("Conf", (), {"get": lambda self, key, default: default})()
+        self.sparkContext = self
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
 
-    class Cluster:
-        conf = Conf()
-        sparkContext = type("Context", (), {"master": "yarn"})
+def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(Cluster())
+        session.shared_dir(Session("yarn"))
+
+
+def test_local_session_gets_a_folder():
+    local = Session("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local) == local.folder

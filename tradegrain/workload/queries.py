@@ -383,8 +383,9 @@ def gold_region_month(star):
 
 @query
 def table_counts(star):
+    card = cards.scorecard(star.customers, star.products, star.lines)
     return medallion.table_counts({"customers": star.customers, "products": star.products,
-                                   "orders": star.lines})
+                                   "orders": star.lines, "gold_customer_scorecard": card})
 
 
 @query
