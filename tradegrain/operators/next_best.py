@@ -29,12 +29,12 @@ def next_best(customers: DataFrame, products: DataFrame, bought: DataFrame,
     """One row per customer; the product is NULL for who bought everything.
 
     `customers` has customer_id and segment, `products` product_id and product_name, and
-    `bought` distinct customer_id, segment, product_id of known customers and products.
-    `bought` is read up to four times and should be a written table.
+    `bought` distinct customer_id, product_id pairs of known products. `bought` is read up to
+    four times and should be a written table; only these two columns of it are shuffled.
     """
     todo = customers.select("customer_id", "segment")
-    held = bought.select("customer_id", "segment", "product_id")
-    popularity = (held.filter(F.col("segment").isNotNull())
+    pairs = bought.select("customer_id", "product_id")
+    popularity = (pairs.join(todo, "customer_id").filter(F.col("segment").isNotNull())
                   .groupBy("segment", "product_id").agg(F.count(F.lit(1)).alias("buyers"))
                   .join(products.select("product_id", "product_name"), "product_id"))
 
@@ -45,9 +45,8 @@ def next_best(customers: DataFrame, products: DataFrame, bought: DataFrame,
     ]
     done: list[DataFrame] = []
     for make in rankings:
-        mine = held if not done else held.join(todo.select("customer_id"), "customer_id",
-                                               "left_semi")
-        found = settle(_first_missing(todo, mine, make()), "next-best")
+        found = settle(_first_missing(todo, pairs.join(todo, "customer_id"), make()),
+                       "next-best")
         done.append(found.filter(F.col("product_id").isNotNull()))
         todo = found.filter(F.col("product_id").isNull()).select("customer_id", "segment")
         if todo.isEmpty():

@@ -39,9 +39,7 @@ def base(customers: DataFrame, products: DataFrame, lines: DataFrame,
     """The 26 columns that need no other customer's row, as a written table."""
     known = until(lines, as_of)
     anchor = F.lit(as_of or anchor_date(known).first()[0]).cast("date")
-    grain = settle(
-        customer_product_grain(known, products, anchor)
-        .join(customers.select("customer_id", "segment"), "customer_id"), "grain")
+    grain = settle(customer_product_grain(known, products, anchor), "grain")
     offers = next_best(customers, products, grain)
     return settle(activity(customers, customer_rollup(grain), anchor)
                   .join(offers, "customer_id", "left"), "base")

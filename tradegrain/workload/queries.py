@@ -195,10 +195,8 @@ def segment_popularity(star):
 
 @query
 def cross_sell(star):
-    bought = settle(_grain(star).select("customer_id", "product_id")
-                    .join(star.customers.select("customer_id", "segment"), "customer_id"),
-                    "bought")
-    return next_best(star.customers, star.products, bought)
+    return next_best(star.customers, star.products,
+                     settle(grain.purchased(_grain(star)), "bought"))
 
 
 @query
