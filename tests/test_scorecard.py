@@ -39,7 +39,7 @@ def test_customer_without_orders(spark):
     assert new.top_categories == "" and new.first_order_date is None
     assert (found[1].r_score, new.r_score) == (1, 2)      # a NULL recency sorts as freshest
     worst = card(customers(spark, 1, 2), products(spark, "A"), lines(spark, line(1, 1, "A")),
-                 nulls="worst")
+                 nulls="stalest")
     assert (worst[2].r_score, worst[1].r_score) == (1, 2)
 
 

@@ -19,16 +19,16 @@ from tradegrain.operators.next_best import next_best
 from tradegrain.operators.scales import add_scales, ntile, percentile
 from tradegrain.session import settle
 
-Nulls = Literal["reference", "worst"]
+Nulls = Literal["freshest", "stalest"]
 
 
 def scorecard(customers: DataFrame, products: DataFrame, lines: DataFrame,
-              as_of: date | str | None = None, nulls: Nulls = "reference") -> DataFrame:
+              as_of: date | str | None = None, nulls: Nulls = "freshest") -> DataFrame:
     """36 columns, one row per customer, also for those without orders.
 
     With `as_of`, the card as it stood on that date. `nulls` says where customers that never
-    ordered go in the recency score: with the freshest ("reference", where a NULL recency
-    sorts last) or with the stalest ("worst").
+    ordered go in the recency score: by default a NULL recency sorts last under falling
+    recency, so they score with the freshest; "stalest" puts them at the other end.
     """
     return (score(base(customers, products, lines, as_of), nulls)
             .withColumn("computed_at", F.current_timestamp()))
@@ -70,7 +70,7 @@ def activity(customers: DataFrame, rollup: DataFrame, anchor: Column) -> DataFra
         "top_category_1", "top_category_2")
 
 
-def score(card: DataFrame, nulls: Nulls = "reference") -> DataFrame:
+def score(card: DataFrame, nulls: Nulls = "freshest") -> DataFrame:
     """Add the scores that compare customers. `card` should be a written table."""
     ranked = add_scales(card, rfm_scales(nulls) + percentile_scales(), "customer_id")
     return (ranked
@@ -83,10 +83,10 @@ def score(card: DataFrame, nulls: Nulls = "reference") -> DataFrame:
                     "rfm_cell", "at_risk_flag"))
 
 
-def rfm_scales(nulls: Nulls = "reference") -> list:
+def rfm_scales(nulls: Nulls = "freshest") -> list:
     """Scores 1 to 5; equal values are told apart by the customer id."""
     return [
-        ntile("r_score", -F.col("recency_days"), 5, "last" if nulls == "reference" else "first"),
+        ntile("r_score", -F.col("recency_days"), 5, "last" if nulls == "freshest" else "first"),
         ntile("f_score", F.col("frequency_12m"), 5),
         ntile("m_score", F.col("monetary_12m"), 5),
     ]

@@ -27,7 +27,7 @@ def lookup(snapshot: DataFrame, key: str, values: Iterable) -> DataFrame:
 
 def lookup_many(snapshot: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """Rows of many keys, given as a table."""
-    return snapshot.join(wanted.select(key), key, "left_semi")
+    return snapshot.join(wanted.select(key).distinct(), key, "left_semi")
 
 
 def append_changes(history_path: str, changes: DataFrame, version: int) -> None:

@@ -93,14 +93,18 @@ def current_rows(spark: SparkSession, valid_path: str, entity: Entity) -> DataFr
 
 
 def daily_revenue(lines: DataFrame, delay: str) -> DataFrame:
-    """Revenue per day, final once the watermark has passed it; later lines are left out."""
+    """Revenue per day, final once the watermark has passed it; later lines are left out.
+
+    Windows are aligned to UTC days. The midnights of a session in another time zone fall into
+    one window each all the same, so the day is taken from the lines and not from the window.
+    """
     return (lines.withColumn("event_time", F.col("order_date").cast("timestamp"))
             .withColumn("revenue", line_revenue())
             .withWatermark("event_time", delay)
             .groupBy(F.window("event_time", "1 day"))
-            .agg(F.sum("revenue").alias("revenue"), F.count("order_id").alias("orders"))
-            .select(F.col("window.start").cast("date").alias("order_date"), "revenue",
-                    "orders"))
+            .agg(F.max("order_date").alias("order_date"), F.sum("revenue").alias("revenue"),
+                 F.count("order_id").alias("orders"))
+            .drop("window"))
 
 
 def monthly_revenue(lines: DataFrame) -> DataFrame:

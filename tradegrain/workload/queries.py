@@ -375,8 +375,9 @@ def reconciliation(star):
 
 @query
 def gold_region_month(star):
-    return medallion.gold_region_month(*[_silver(star, name).table
-                                         for name in ("customers", "products", "orders")])
+    customers, products = (settle(_silver(star, name).table, "silver")
+                           for name in ("customers", "products"))
+    return medallion.gold_region_month(customers, products, _silver(star, "orders").table)
 
 
 @query
