@@ -44,11 +44,14 @@ def customer_product_grain(lines: DataFrame, products: DataFrame, as_of: Column,
     one shuffle of the facts is of sums by both keys: neither a customer nor a product with a
     third of the lines ends up on one task.
     """
-    revenue = line_revenue()
-    recent = F.col("order_date") > rolling_start(as_of, months)
+    revenue, recent = F.col("revenue"), F.col("recent")
     # Units of lines without revenue carry no cost either, as profit is NULL on those lines.
     costed = F.when(revenue.isNotNull(), F.col("quantity"))
-    sums = lines.groupBy("customer_id", "product_id").agg(
+    amounts = lines.select(
+        "order_id", "customer_id", "product_id", "order_date", "quantity",
+        line_revenue().alias("revenue"),
+        (F.col("order_date") > rolling_start(as_of, months)).alias("recent"))
+    sums = amounts.groupBy("customer_id", "product_id").agg(
         F.count("order_id").alias("orders"),
         F.count(revenue).alias("priced"),
         F.sum("quantity").alias("units"),
