@@ -14,6 +14,8 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__driver__memory="6g", spark__default__parallelism="4",
+        # Small tables must go through several tasks here, as large ones would.
+        spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session

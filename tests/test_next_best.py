@@ -19,7 +19,7 @@ def check(spark, rows, who, what, pairs, head):
     return {r[0]: r[1] for r in rows(found)}
 
 
-@pytest.mark.parametrize("seed,head", [(1, 1), (2, 2), (3, 256), (4, 3)])
+@pytest.mark.parametrize("seed,head", [(1, 1), (3, 256), (4, 3)])
 def test_equal_to_direct_form(spark, rows, seed, head):
     rng = random.Random(seed)
     who = customers(spark, *[(i, rng.choice(["x", "x", "y", "z", None])) for i in range(60)])

@@ -52,30 +52,24 @@ def test_single_customer(spark):
     assert (only.lifetime_revenue, only.lifetime_profit) == (Decimal("30.00"), Decimal("12.00"))
 
 
-def test_rolling_window_excludes_its_first_day(spark):
-    sold = lines(spark, line(1, 1, "A", "2024-02-29"), line(2, 1, "A", "2023-02-28"),
-                 line(3, 1, "A", "2023-03-01"))
-    assert card(customers(spark, 1), products(spark, "A"), sold)[1].r12_orders == 2
-
-
-def test_zero_revenue(spark):
-    only = card(customers(spark, 1), products(spark, "A"),
-                lines(spark, line(1, 1, "A", discount="100")))[1]
-    assert only.lifetime_revenue == 0 and only.lifetime_profit == Decimal("-6.00")
-    assert only.lifetime_margin_pct is None
-
-
-def test_unknown_product_moves_the_anchor_only(spark):
-    sold = lines(spark, line(1, 1, "A", "2026-05-01"), line(2, 1, "?", "2026-05-31"))
-    only = card(customers(spark, 1), products(spark, "A"), sold)[1]
-    assert (only.lifetime_orders, only.recency_days) == (1, 30)
-    assert only.last_order_date == date(2026, 5, 1)
-
-
-def test_category_tie_is_alphabetical(spark):
+def test_traps(spark):
     what = products(spark, ("A", "Frozen", "6.00"), ("B", "Chilled", "6.00"))
-    only = card(customers(spark, 1), what, lines(spark, line(1, 1, "A"), line(2, 1, "B")))[1]
-    assert only.top_categories == "Chilled | Frozen"
+    found = card(customers(spark, 1, 2, 3, 4), what, lines(
+        spark,
+        line(1, 1, "A", "2023-02-28"), line(2, 1, "A", "2023-03-01"),
+        line(3, 2, "A", "2024-01-15", discount="100"),
+        line(4, 3, "A", "2024-01-15"), line(5, 3, "B", "2024-01-15"),
+        line(6, 4, "A", "2024-01-30"), line(7, 4, "?", "2024-02-29")))
+    # The window starts after the day a year before, which is clamped to 28 February.
+    assert (found[1].lifetime_orders, found[1].r12_orders) == (2, 1)
+    # No revenue, so no margin, and no error.
+    assert (found[2].lifetime_revenue, found[2].lifetime_profit) == (0, Decimal("-6.00"))
+    assert found[2].lifetime_margin_pct is None
+    # Categories of equal revenue are in alphabetical order.
+    assert found[3].top_categories == "Chilled | Frozen"
+    # A line of an unknown product counts for the anchor date and for nothing else.
+    assert (found[4].lifetime_orders, found[4].recency_days) == (1, 30)
+    assert found[4].last_order_date == date(2024, 1, 30)
 
 
 def test_as_of_ignores_later_lines(spark):
