@@ -34,7 +34,7 @@ from tradegrain.llm.frames import arrow, in_fold, ship, text_bytes
 from tradegrain.llm.words import NON_SPACE, each_piece, mix
 from tradegrain.session import settle
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SMOOTHING = 0.1
 MODULUS, HELD, DELETED = 10, 0, 1     # remainders of the test texts and of the deleted part
 BINS = 1000                           # of a decade of ratios
@@ -66,14 +66,15 @@ class Block:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Numbers byte plane by byte plane, so that small ones compress well."""
+    """Numbers byte plane by byte plane, compressed: the high planes of small ones are empty."""
     kind = values.dtype.newbyteorder("<")
-    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return zstandard.compress(
+        values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
 
 
 def _unplanes(data: bytes, kind: str) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
+    return np.frombuffer(zstandard.decompress(data), np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
 
 
 def _ranges(values: np.ndarray, count: int) -> np.ndarray:
