@@ -6,7 +6,7 @@ sequence crosses documents and none needs padding; sequences of one length are n
 the other (`bucket`), so that a trainer reads them in batches of equal shape.
 
 Words between ASCII spaces are tokenized apart, which gives the same tokens since the tokenizer
-never joins across white space; each distinct word of a batch of texts is tokenized once.
+never joins across white space; a Python worker tokenizes a word once as long as it remembers it.
 
 Rows: null and empty texts are one piece, the end token. Repeated rows are packed each.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from functools import cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -29,35 +30,42 @@ from tokenizers import Tokenizer
 from tradegrain.llm.frames import arrow
 from tradegrain.llm.words import buffers, pieces
 from tradegrain.operators.numbering import number_rows
+from tradegrain.session import settle
 
 LONGEST = 4096
 END = 2
-_KNOWN_WORDS = 200_000   # tokenized words that a task remembers
-
-
-@cache
-def _tokenizer(definition: str) -> Tokenizer:
-    return Tokenizer.from_str(definition)
+_KNOWN_WORDS = 600_000   # tokenized words that a Python worker remembers
+# A word and the one comma or full stop after it, before white space, are tokenized apart anyway.
+_LAST_SIGN = re.compile(rb"(?<=[a-z])(?=[.,](?:[ \n]|$))")
+_SPECIAL = b"<|"         # may begin a special token, whose capitals count
 
 
 class Encoder:
     """Token ids of texts, word by word, remembering the words it has met."""
 
     def __init__(self, definition: str):
-        self.tokenizer = _tokenizer(definition)
-        self.known: dict[str, np.ndarray] = {}
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [re.split(r"[ \t\n\r]+", t) for t in texts]
-        known = self.known
-        new = [w for w in {w for p in parts for w in p} if w not in known]
-        if len(known) + len(new) > _KNOWN_WORDS:
-            known.clear()
-            new = list({w for p in parts for w in p})
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(
-                new, add_special_tokens=False)):
-            known[word] = np.array(found.ids, np.uint32).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, p)), np.uint32) for p in parts]
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.known: dict[bytes, bytes] = {}
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [np.array(found.ids, np.uint32).tobytes()
+                for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Of UTF-8 texts. bytes.split() cuts at ASCII white space only."""
+        # Capitals go first: the tokenizer lowers them all, and words are then met more often.
+        parts = [[t] if _SPECIAL in t else _LAST_SIGN.sub(b" ", t.lower()).split() for t in texts]
+        met = set(chain.from_iterable(parts))
+        if len(self.known) > _KNOWN_WORDS:
+            self.known.clear()
+        new = list(met.difference(self.known))
+        self.known.update(zip(new, self._encode([w.decode() for w in new])))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), np.uint32) for p in parts]
+
+
+@cache
+def encoder(definition: str) -> Encoder:
+    return Encoder(definition)
 
 
 def lengths(tokens: int, longest: int) -> list[int]:
@@ -78,14 +86,14 @@ def pieces_of(docs: DataFrame, definition: str, longest: int = LONGEST, end: int
                          *([StructField("ids", ArrayType(IntegerType()))] if with_ids else [])])
 
     def run(batches):
-        encoder = Encoder(definition)
+        known = encoder(definition)
         for batch in batches:
-            texts = batch.column(1)
-            _, offsets = buffers(texts)
+            data, offsets = buffers(batch.column(1))
             for low, high in pieces(offsets):
                 row, found, ids = [], [[], [], [], []], []
-                part = [t or "" for t in texts.slice(low, high - low).to_pylist()]
-                for i, own in enumerate(encoder.ids(part)):
+                part = [data[a:b].tobytes() for a, b in zip(offsets[low:high],
+                                                            offsets[low + 1:high + 1])]
+                for i, own in enumerate(known.ids(part)):
                     own = np.append(own, np.uint32(end)).astype("<u4")
                     start = 0
                     for size in lengths(len(own), longest):
@@ -113,7 +121,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, longest: int = LONGEST,
     """The pieces as sequences: `sequence_id` counts on over all pieces, those of a bucket in a
     row and longer ones first; `offset` is where the piece starts in its sequence, always 0."""
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    found = pieces_of(docs, Path(path).read_text(encoding="utf-8"), longest, end, with_ids)
+    # Written before they are sorted, since a range sort reads its rows twice.
+    found = settle(pieces_of(docs, Path(path).read_text(encoding="utf-8"), longest, end, with_ids),
+                   "pieces")
     # Pieces of one length are put in the order of their checksums, which spreads them evenly;
     # copies of a piece that stay together only make a task of the sort larger.
     numbered = number_rows(found.withColumn("_bucket", -F.col("bucket")), [],
