@@ -41,7 +41,7 @@ LEXICON = 2_000            # entries at most
 BEGINNINGS = (4, 5, 6)     # characters of a word's beginning that are entries of their own
 TOXIC = 0.3
 LONGEST_WORD = 24          # longer signs-and-letters words are keys and hashes, not words
-_REMEMBERED = 200_000      # words whose entries a task remembers
+_REMEMBERED = 100_000      # words whose entries a task remembers
 
 _SYMBOLS = 28              # word edge, a to z, any other letter
 _WORD = re.compile(r"[^\W\d_]+")
