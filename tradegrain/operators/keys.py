@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,16 +13,21 @@ def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) ->
     """One row per key: the least by the `prefer` columns, then by all others in order.
 
     An aggregate rather than a numbered window, so that each task first reduces its own copies
-    of a key to one; a key with a third of the rows then sends one row per task.
+    of a key to one; a key with a third of the rows then sends one row per task. Rows without a
+    whole key are no copies of each other: all of them stay.
     """
     rest = [c for c in df.columns if c not in keys and c not in prefer]
-    payload = [*prefer, *rest]
-    if not payload:
-        return df.distinct()
-    return (df.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_kept"))
+    payload = [*prefer, *rest] or list(keys)
+    apart = df.withColumn("_apart", F.when(missing(keys), F.monotonically_increasing_id()))
+    return (apart.groupBy(*keys, "_apart").agg(F.min(F.struct(*payload)).alias("_kept"))
             .select(*[F.col(c) if c in keys else F.col(f"_kept.{c}") for c in df.columns]))
 
 
+def missing(keys: Sequence[str]) -> Column:
+    """Whether any of the key's columns is NULL."""
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one row."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))

@@ -16,7 +16,8 @@ from tradegrain.operators.keys import keep_one, surplus_rows
 from tradegrain.operators.rules import Rule, apply_rules, split, violations
 from tradegrain.plans.sales_metrics import sales_metrics
 from tradegrain.plans.sales_rules import customer_rules, order_rules, product_rules
-from tradegrain.sources.json_files import read_json, with_lineage
+from tradegrain.session import settle
+from tradegrain.sources.json_files import CORRUPT, LINEAGE, read_json, with_lineage
 from tradegrain.sources.schemas import (
     CATEGORIES,
     CUSTOMERS,
@@ -54,12 +55,17 @@ def entities() -> dict[str, Entity]:
 
 
 def bronze(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """The raw lines as they are, malformed ones kept as text, with file and read time."""
-    return with_lineage(read_json(spark, path, schema, keep_corrupt=True))
+    """The raw lines as they are, malformed ones kept as text, with file and read time.
 
+    Written once with all columns: a JSON reader that is asked for some columns only does not see
+    what is malformed in the others, and later steps would disagree about a line.
+    """
+    return settle(with_lineage(read_json(spark, path, schema, keep_corrupt=True)), "bronze")
 
-def normalise(raw: DataFrame, entity: Entity) -> DataFrame:
-    """The entity's columns, typed where the value allows it, trimmed, in allowed spelling."""
+
+def normalise(raw: DataFrame, entity: Entity, beside: Sequence[str] = ()) -> DataFrame:
+    """The entity's columns, typed where the value allows it, trimmed, in allowed spelling; and
+    the columns named `beside` as they are."""
     def clean(name: str, kind) -> Column:
         column = F.col(name)
         if name in entity.spelling:
@@ -68,14 +74,41 @@ def normalise(raw: DataFrame, entity: Entity) -> DataFrame:
             return F.trim(column.cast("string")).alias(name)
         return column.try_cast(kind).alias(name)
 
-    return raw.select(*[clean(f.name, f.dataType) for f in entity.schema if f.name in raw.columns])
+    return raw.select(*[clean(f.name, f.dataType) for f in entity.schema if f.name in raw.columns],
+                      *beside)
+
+
+def parse_rules(raw: DataFrame, entity: Entity) -> list[Rule]:
+    """A value that is there but not of its column's type is a violation, and so are a missing key
+    and a line that bronze could not read. The rules read the raw values as `_raw_` columns."""
+    kinds = dict(raw.dtypes)
+    typed = [f.name for f in entity.schema if f.name in kinds and not isinstance(
+        f.dataType, StringType) and kinds[f.name] != f.dataType.simpleString()]
+    rules = [Rule(f"{name}_parses", F.col(f"_raw_{name}").isNull() | F.col(name).isNotNull())
+             for name in typed]
+    present = f"{entity.key}_present"
+    if present not in {r.name for r in entity.rules}:
+        rules.append(Rule(present, F.col(entity.key).isNotNull()))
+    if CORRUPT in raw.columns:
+        rules.append(Rule("line_parses", F.col(CORRUPT).isNull()))
+    return rules
 
 
 def silver(raw: DataFrame, entity: Entity) -> Silver:
     """Normalise, check, part, and keep one row per key. Rules run before de-duplication, so
-    a good copy of a row survives a bad one."""
-    parts = split(apply_rules(normalise(raw, entity), entity.rules), entity.rules)
-    return Silver(keep_one(parts.valid, [entity.key]), parts.quarantine)
+    a good copy of a row survives a bad one. The quarantine keeps what bronze knows of a row, its
+    text if it was malformed and its lineage."""
+    known = [f.name for f in entity.schema if f.name in raw.columns]
+    parsing = parse_rules(raw, entity)
+    held = [r.name.removesuffix("_parses") for r in parsing
+            if r.name.endswith("_parses") and r.name != "line_parses"]
+    extra = [c for c in raw.columns if c == CORRUPT or c in LINEAGE]
+    beside = raw.select("*", *[F.col(c).alias(f"_raw_{c}") for c in held])
+    wide = normalise(beside, entity, [*extra, *(f"_raw_{c}" for c in held)])
+    rules = [*entity.rules, *parsing]
+    parts = split(apply_rules(wide, rules), rules)
+    return Silver(keep_one(parts.valid.select(*known), [entity.key]),
+                  parts.quarantine.drop(*(f"_raw_{c}" for c in held)))
 
 
 def issue_summary(raw: dict[str, DataFrame], specs: dict[str, Entity]) -> DataFrame:

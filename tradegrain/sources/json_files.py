@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
+LINEAGE = ("_source_file", "_ingested_at")
 
 
 def hinted_schema(inferred: StructType, hints: str | StructType) -> StructType:

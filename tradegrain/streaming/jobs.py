@@ -15,9 +15,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tradegrain.functions import line_revenue, month_of
 from tradegrain.operators.changes import as_of
-from tradegrain.operators.keys import keep_one
-from tradegrain.operators.rules import apply_rules, split
-from tradegrain.plans.medallion import Entity, normalise
+from tradegrain.operators.keys import keep_one, missing
+from tradegrain.plans.medallion import Entity, silver
 from tradegrain.plans.serving import append_changes, read_history
 from tradegrain.sources.json_files import CORRUPT, with_lineage
 
@@ -44,6 +43,7 @@ def table_stream(spark: SparkSession, path: str, schema: StructType,
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    path = path.rstrip("/")
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
@@ -59,13 +59,15 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str, delay:
 
     With `spread`, copies are first reduced within that many shares of the input tasks, so
     that a key with a large part of the rows does not pass through one task; the price is a
-    second, short-lived state.
+    second, short-lived state. Rows without a whole key are no copies of each other and all
+    pass: a mark of their own tells them apart.
     """
-    marked = stream.withWatermark(event_time, delay)
+    marked = (stream.withWatermark(event_time, delay)
+              .withColumn("_apart", F.when(missing(keys), F.uuid())))
     if spread > 1:
         marked = (marked.withColumn("_share", F.spark_partition_id() % spread)
-                  .dropDuplicatesWithinWatermark([*keys, "_share"]).drop("_share"))
-    return marked.dropDuplicatesWithinWatermark(list(keys))
+                  .dropDuplicatesWithinWatermark([*keys, "_apart", "_share"]).drop("_share"))
+    return marked.dropDuplicatesWithinWatermark([*keys, "_apart"]).drop("_apart")
 
 
 def silver_stream(stream: DataFrame, entity: Entity, valid_path: str, quarantine_path: str,
@@ -76,10 +78,10 @@ def silver_stream(stream: DataFrame, entity: Entity, valid_path: str, quarantine
     within a batch are reduced to one; `current_rows` does the same across batches.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = apply_rules(normalise(batch, entity), entity.rules).persist()
+        checked = batch.persist()
         try:
-            parts = split(checked, entity.rules)
-            _write_batch(keep_one(parts.valid, [entity.key]), valid_path, batch_id)
+            parts = silver(checked, entity)
+            _write_batch(parts.table, valid_path, batch_id)
             _write_batch(parts.quarantine, quarantine_path, batch_id)
         finally:
             checked.unpersist()
@@ -95,15 +97,15 @@ def current_rows(spark: SparkSession, valid_path: str, entity: Entity) -> DataFr
 def daily_revenue(lines: DataFrame, delay: str) -> DataFrame:
     """Revenue per day, final once the watermark has passed it; later lines are left out.
 
-    Windows are aligned to UTC days. The midnights of a session in another time zone fall into
-    one window each all the same, so the day is taken from the lines and not from the window.
+    Windows are aligned to UTC days and give the watermark something to close. In a session of
+    another time zone two midnights may fall into one window (a day of 23 hours), so the day of
+    the lines is a key of its own.
     """
     return (lines.withColumn("event_time", F.col("order_date").cast("timestamp"))
             .withColumn("revenue", line_revenue())
             .withWatermark("event_time", delay)
-            .groupBy(F.window("event_time", "1 day"))
-            .agg(F.max("order_date").alias("order_date"), F.sum("revenue").alias("revenue"),
-                 F.count("order_id").alias("orders"))
+            .groupBy(F.window("event_time", "1 day"), "order_date")
+            .agg(F.sum("revenue").alias("revenue"), F.count("order_id").alias("orders"))
             .drop("window"))
 
 
@@ -156,9 +158,12 @@ def serving_copy(spark: SparkSession, history_path: str, key: str, order: str,
     return as_of(history.drop("version"), key, order)
 
 
-def finish(query: StreamingQuery, seconds: int = 1800) -> None:
-    """Wait for a query that stops by itself; raise if it fails or takes too long."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Wait for a query that stops by itself; raise if it fails, or if the caller set a limit and
+    it takes longer."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"streaming query ran longer than {seconds} s")
 
