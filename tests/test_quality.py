@@ -12,42 +12,49 @@ from tradegrain.plans import medallion, sales_rules
 from tradegrain.sources.schemas import REGIONS, SEGMENTS
 
 
+def shop(number, name="Shop", region="Wales", segment="Regional"):
+    return (number, name, region, segment, "M", date(2023, 5, 1))
+
+
 def raw_customers(spark):
-    """70 clean outlets, of which 6 get an unknown region, and 11 bad rows."""
-    out = [(i, f"Outlet {i}", REGIONS[i % 11], SEGMENTS[i % 3], "M", date(2024, 1, 1))
-           for i in range(1, 71)]
-    for number, region in zip((3, 11, 19, 27, 38, 52),
-                              ("EMEA", "Atlantis", "Unknown", "MARS", "n/a", "Europe")):
-        out[number - 1] = (*out[number - 1][:2], region, *out[number - 1][3:])
-    out += [(170 + n, f"QA Test Outlet {n}", "Wales", "TEST", "M", date(2026, 5, 31))
-            for n in range(4)]
-    out += [(270 + n, f"Some Testing Place {n}", "Wales", "Regional", "M", date(2026, 5, 31))
-            for n in range(5)]
-    out += [(None, f"Nameless {n}", "Wales", "Regional", "M", date(2026, 5, 31))
-            for n in range(2)]
-    return spark.createDataFrame(out, CUSTOMER)
+    """48 good shops, 2 of an unknown region, which only warns, and 13 to set aside: 3 of an
+    unknown segment, 5 with a name of a test, 4 without an id, 1 with the first two faults."""
+    return spark.createDataFrame(
+        [shop(n, f"Shop {n}", REGIONS[n % len(REGIONS)], SEGMENTS[n % len(SEGMENTS)])
+         for n in range(48)]
+        + [shop(60, region="Lemuria"), shop(61, region=None)]
+        + [shop(70, segment="Kiosk"), shop(71, segment=None), shop(72, segment="")]
+        + [shop(80 + n, name) for n, name in enumerate(
+            ["Test", "the LATEST look", "contest corner", "testament books", "Untested goods"])]
+        + [shop(None, f"No number {n}") for n in range(4)]
+        + [shop(90, "tEsT kiosk", segment="Kiosk")], CUSTOMER)
 
 
 def raw_products(spark):
-    clean = [(f"SKU-{i:03d}", f"Item {i}", "Frozen", Decimal("10.00"), Decimal("7.00"),
-              date(2023, 1, 1)) for i in range(1, 35)]
-    return spark.createDataFrame(clean + [
-        (None, "Unknown Product", "Unknown", Decimal(0), Decimal(0), None),
-        ("SKU-084", "Old 1", "Frozen", Decimal(0), Decimal(2), date(2020, 1, 1)),
-        ("SKU-085", "Old 2", "Frozen", Decimal(-5), Decimal(2), date(2020, 1, 1))], PRODUCT)
+    """20 good products, and 6 to set aside: 2 without an id, 3 without a price above 0, 1 with
+    both faults."""
+    def product(number, price="4.00", category="Chilled", cost="2.80"):
+        return (number, "Thing", category, None if price is None else Decimal(price),
+                Decimal(cost), None)
+
+    return spark.createDataFrame(
+        [product(f"G{n}") for n in range(20)] + [product(None), product(None, category="Toys")]
+        + [product("Z1", "0.00"), product("Z2", "-0.01"), product("Z3", None)]
+        + [product(None, "0.00")], PRODUCT)
 
 
 def raw_orders(spark):
-    clean = [line(100_000 + i, i % 70 + 1, f"SKU-{i % 34 + 1:03d}", "2026-01-15", i % 40 + 1)
-             for i in range(1, 2201)]
-    bad = clean[:15]
-    bad += [line(900_001 + i, None, "SKU-001") for i in range(8)]
-    bad += [line(900_101 + i, 1, None) for i in range(7)]
-    bad += [line(900_201 + i, 1, "SKU-001", quantity=0 if i % 2 else -i) for i in range(12)]
-    bad += [line(900_301 + i, 1, "SKU-001", discount="-10" if i % 2 else "101.5")
-            for i in range(10)]
-    bad += [line(900_401 + i, 1, "SKU-001", "2026-07-01") for i in range(9)]
-    return spark.createDataFrame(clean + bad, LINE)
+    """600 good lines, 9 more copies of some, and 28 to set aside, 3 of them with two faults."""
+    good = [line(n, n % 48, f"G{n % 20}", "2026-02-03", n % 9 + 1) for n in range(600)]
+    copies = [good[5]] * 2 + good[100:107]
+    bad = [(None, "G1", {})] * 4 + [(1, None, {})] * 5 + [(None, None, {})]
+    bad += [(1, "G1", {"quantity": q}) for q in (0, 0, -1, -7, -100, 0)]
+    bad += [(1, "G1", {"discount": d}) for d in ("-0.01", "100.01", "250", "-5", "999", "101", "-99")]
+    bad += [(1, "G1", {"day": d}) for d in ("2026-06-01", "2027-01-01", "2999-12-31")]
+    bad += [(1, "G1", {"quantity": 0, "discount": "200"})] * 2
+    return spark.createDataFrame(good + copies + [
+        line(5000 + n, customer, product, **faults)
+        for n, (customer, product, faults) in enumerate(bad)], LINE)
 
 
 @pytest.fixture(scope="module")
@@ -59,31 +66,31 @@ def raw(spark):
 def test_issue_summary(spark, raw, rows):
     found = {r[:2]: r[2] for r in rows(medallion.issue_summary(raw, medallion.entities()))}
     assert found == {
-        ("customers", "customer_id_present"): 2, ("customers", "region_known"): 6,
-        ("customers", "segment_known"): 4, ("customers", "name_not_test"): 9,
-        ("products", "product_id_present"): 1, ("products", "list_price_positive"): 3,
-        ("orders", "customer_id_present"): 8, ("orders", "product_id_present"): 7,
-        ("orders", "quantity_positive"): 12, ("orders", "discount_in_range"): 10,
-        ("orders", "order_date_not_future"): 9, ("orders", "order_id_unique"): 15}
+        ("customers", "customer_id_present"): 4, ("customers", "region_known"): 2,
+        ("customers", "segment_known"): 4, ("customers", "name_not_test"): 6,
+        ("products", "product_id_present"): 3, ("products", "list_price_positive"): 4,
+        ("orders", "customer_id_present"): 5, ("orders", "product_id_present"): 6,
+        ("orders", "quantity_positive"): 8, ("orders", "discount_in_range"): 9,
+        ("orders", "order_date_not_future"): 3, ("orders", "order_id_unique"): 9}
 
 
 def test_silver_sizes(raw):
     sizes = {name: (medallion.silver(raw[name], spec).table.count(),
                     medallion.silver(raw[name], spec).quarantine.count())
              for name, spec in medallion.entities().items()}
-    assert sizes == {"customers": (70, 11), "products": (34, 3), "orders": (2200, 46)}
+    assert sizes == {"customers": (50, 13), "products": (20, 6), "orders": (600, 28)}
 
 
 def test_strict_region_rule(raw):
     spec = medallion.Entity("customers", raw["customers"].schema, "customer_id",
                             sales_rules.customer_rules(on_region="drop"))
-    assert medallion.silver(raw["customers"], spec).table.count() == 64
+    assert medallion.silver(raw["customers"], spec).table.count() == 48
 
 
 def test_reconciliation(spark, raw, rows):
     clean = {n: medallion.silver(raw[n], s).table for n, s in medallion.entities().items()}
     assert rows(medallion.reconciliation(clean, raw)) == [
-        ("customers", 70, 81, 11), ("orders", 2200, 2261, 61), ("products", 34, 37, 3)]
+        ("customers", 50, 63, 13), ("orders", 600, 637, 37), ("products", 20, 26, 6)]
 
 
 def test_parts_make_up_the_input(raw, rows):
@@ -131,7 +138,7 @@ def test_counters_pass_by(spark, raw):
     checks = medallion.entities()["products"].rules
     seen, counters = observed(apply_rules(raw["products"], checks), checks, "products")
     seen.write.format("noop").mode("overwrite").save()
-    assert counters.get == {"rows": 37, "product_id_present": 1, "list_price_positive": 3}
+    assert counters.get == {"rows": 26, "product_id_present": 3, "list_price_positive": 4}
 
 
 def test_normalise(spark, rows):
@@ -184,7 +191,7 @@ def test_price_band(spark, rows):
 
 def test_domain_rules(spark, raw, rows):
     found = violations(raw["products"], sales_rules.domain_rules_products(), "products")
-    assert dict(r[1:] for r in rows(found)) == {"category_known": 1, "cost_in_band": 2}
+    assert dict(r[1:] for r in rows(found)) == {"category_known": 1, "cost_in_band": 4}
     odd = lines(spark, line(1, 1, "A", discount="7.5"))
     found = violations(odd, sales_rules.domain_rules_orders(), "orders")
     assert dict(r[1:] for r in rows(found)) == {"discount_whole": 1, "currency_known": 0}
@@ -193,7 +200,7 @@ def test_domain_rules(spark, raw, rows):
 def test_gold(spark, raw, rows):
     parts = {n: medallion.silver(raw[n], s).table for n, s in medallion.entities().items()}
     gold = medallion.gold_region_month(parts["customers"], parts["products"], parts["orders"])
-    assert gold.agg(F.sum("orders")).first()[0] == 2200
+    assert gold.agg(F.sum("orders")).first()[0] == 600
 
 
 def test_functions(spark, rows):
