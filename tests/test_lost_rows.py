@@ -74,3 +74,16 @@ def test_streamed_rows_without_a_key_all_pass(spark, tmp_path):
         out = str(tmp_path / f"out{spread}")
         jobs.finish(jobs.append_to(stream, out, str(tmp_path / f"state{spread}")))
         assert spark.read.parquet(out).count() == 4
+
+
+def test_rolling_reads_only_its_window(spark, tmp_path, capsys):
+    from frames import line, lines, products
+    from tradegrain.operators import grain
+    frame = lines(spark, line(1, 1, "A", "2020-01-01"), line(2, 1, "A", "2026-01-01"),
+                  line(3, 2, "A", "2024-05-31"))
+    frame.write.parquet(str(tmp_path / "lines"))
+    stored = spark.read.parquet(str(tmp_path / "lines"))
+    found = grain.rolling_only(stored, products(spark, "A"), "2026-05-31")
+    assert [(r.customer_id, r.r12_orders) for r in found.collect()] == [(1, 1)]
+    found.explain("formatted")
+    assert "GreaterThan(order_date,2025-05-31)" in capsys.readouterr().out

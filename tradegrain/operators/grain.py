@@ -82,6 +82,15 @@ def rolling(grain: DataFrame) -> DataFrame:
     return grain.filter("r12_lines > 0").groupBy("customer_id").agg(*_rolling())
 
 
+def rolling_only(lines: DataFrame, products: DataFrame, as_of: date | str,
+                 months: int = 12) -> DataFrame:
+    """`rolling` without the rest of the grain: only the lines of the window are read and summed,
+    since the given date reaches the scan as a filter."""
+    day = F.lit(as_of).cast("date")
+    window = until(lines, as_of).filter(F.col("order_date") > rolling_start(day, months))
+    return rolling(customer_product_grain(window, products, day, months))
+
+
 def category_rank(grain: DataFrame) -> DataFrame:
     """Sums per customer and category, numbered by falling revenue, then by category."""
     sums = grain.groupBy("customer_id", "category").agg(

@@ -174,7 +174,7 @@ def lifetime(star):
 
 @query
 def rolling_12m(star):
-    return grain.rolling(_grain(star))
+    return grain.rolling_only(star.lines, star.products, grain.anchor_date(star.lines).first()[0])
 
 
 @query
@@ -396,9 +396,7 @@ def name_slug(star):
 # --- serving -------------------------------------------------------------------------------
 
 def _rolling_at(star: Star, day) -> DataFrame:
-    known = grain.until(star.lines, day)
-    return grain.rolling(grain.customer_product_grain(known, star.products,
-                                                      F.lit(day).cast("date")))
+    return grain.rolling_only(star.lines, star.products, day)
 
 
 def _two_snapshots(star: Star) -> tuple[DataFrame, DataFrame]:
