@@ -87,3 +87,15 @@ def test_rolling_reads_only_its_window(spark, tmp_path, capsys):
     assert [(r.customer_id, r.r12_orders) for r in found.collect()] == [(1, 1)]
     found.explain("formatted")
     assert "GreaterThan(order_date,2025-05-31)" in capsys.readouterr().out
+
+
+def test_sync_with_a_new_column(spark, tmp_path):
+    from tradegrain.plans import serving
+    path = str(tmp_path / "history")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    serving.sync(first, path, "k", 0)
+    serving.sync(first.withColumn("extra", F.when(F.col("k") == 2, F.lit("x"))), path, "k", 1)
+    assert sorted(map(tuple, serving.restore(spark, path, "k", 1).select("k", "v", "extra").collect())) \
+        == [(1, "a", None), (2, "b", "x")]
+    with pytest.raises(ValueError):
+        serving.sync(first.unionAll(first), path, "k", 2)

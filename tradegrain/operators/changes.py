@@ -15,9 +15,12 @@ def diff(old: DataFrame, new: DataFrame, key: str, ignore: Collection[str] = (),
     """INSERT, UPDATE and DELETE rows that lead from `old` to `new`, with `new`'s columns.
 
     A deleted key carries NULLs. Columns in `ignore` (build stamps) do not make an update.
-    With `unchanged`, equal rows are listed too, as SAME.
+    With `unchanged`, equal rows are listed too, as SAME. A column that only `new` has was NULL
+    before.
     """
     values = [c for c in new.columns if c != key]
+    old = old.select("*", *[F.lit(None).cast(new.schema[c].dataType).alias(c)
+                            for c in values if c not in old.columns])
     compared = [c for c in values if c not in ignore]
     before = old.select(F.col(key).alias("_old_key"), F.struct(*compared).alias("_before"))
     after = new.select(F.col(key).alias("_new_key"), F.struct(*compared).alias("_after"),

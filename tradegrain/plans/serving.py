@@ -36,13 +36,15 @@ def append_changes(history_path: str, changes: DataFrame, version: int) -> None:
 
 
 def read_history(spark: SparkSession, history_path: str) -> DataFrame:
-    return spark.read.parquet(history_path)
+    """All versions; a column that came later is NULL in the versions before."""
+    return spark.read.option("mergeSchema", "true").parquet(history_path)
 
 
 def sync(snapshot: DataFrame, history_path: str, key: str, version: int,
          ignore: Iterable[str] = ()) -> None:
     """Bring the history up to a rebuilt table: only what changed is written."""
     spark = snapshot.sparkSession
+    require_unique(snapshot, key)
     if version == 0:
         changes = snapshot.withColumn("op", F.lit("INSERT"))
     else:
