@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -366,3 +367,16 @@ def test_pipeline_over_sf0001(spark):
     assert counts[0] > counts[1] > counts[2] >= counts[3] == counts[4] > 0
     packed = corpus_pipeline.run(spark, folder)
     assert packed.select("doc_id").distinct().count() == counts[4]
+
+
+def test_groups_are_walked_whole():
+    group = np.repeat(np.arange(-3, 9), [1, 5, 2, 9, 1, 1, 30, 2, 3, 1, 4, 6])
+    fp = np.arange(len(group))
+    batches = [pa.RecordBatch.from_arrays([pa.array(group[i:i + 4]), pa.array(fp[i:i + 4])],
+                                          names=["bucket", "fp"]) for i in range(0, len(group), 4)]
+    runs = list(simhash.whole_groups(batches, 10))
+    assert len(runs) > 3
+    assert np.concatenate([g for g, _ in runs]).tolist() == group.tolist()
+    assert np.concatenate([f for _, f in runs]).tolist() == fp.tolist()
+    assert all(a[0][-1] != b[0][0] for a, b in zip(runs, runs[1:]))
+    assert list(simhash.whole_groups([], 10)) == []

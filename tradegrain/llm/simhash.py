@@ -32,6 +32,7 @@ SHINGLE = 3          # words
 SEED = 42
 BITS = 3             # linked: this many differing bits or fewer
 GROUP_ROWS = 20_000  # larger groups are split by further bits
+_TASK_ROWS = 1 << 18  # rows of whole groups that a task walks at once
 _FRONT = 1 << 19     # node pairs that are expanded at once
 _LEAF = 4            # nodes with this many fingerprints between them are compared outright
 
@@ -144,21 +145,35 @@ def trie_pairs(group: np.ndarray, fp: np.ndarray, budget: int):
         stack.append((depth + 1, *(x[alive] for x in new)))
 
 
+def whole_groups(batches, least: int):
+    """The rows (group, fp) of batches that are sorted by group, in runs of whole groups that hold
+    about `least` rows or one group."""
+    held, size = [], 0
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(zero_copy_only=False),
+                     batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
+        size += batch.num_rows
+        if size >= least:
+            group, fp = (np.concatenate(c) for c in zip(*held))
+            cut = int(np.searchsorted(group, group[-1]))
+            if cut:
+                yield group[:cut], fp[:cut]
+            held, size = [(group[cut:], fp[cut:])], size - cut
+    if size:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
 def _links(budget: int):
     def run(batches):
-        columns = [(b.column(0).to_numpy(zero_copy_only=False),
-                    b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)) for b in batches]
-        if not columns:
-            return
-        group, fp = (np.concatenate(c) for c in zip(*columns))
-        order = np.lexsort((fp, group))
-        group, fp = group[order], fp[order]
-        signed = fp.view(np.int64)
-        kept = forest(pair for a, b in trie_pairs(group, fp, budget)
-                      for pair in zip(signed[a].tolist(), signed[b].tolist()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([a for a, _ in kept], pa.int64()), pa.array([b for _, b in kept], pa.int64())],
-            names=["a", "b"])
+        for group, fp in whole_groups(batches, _TASK_ROWS):
+            order = np.lexsort((fp, group))
+            group, fp = group[order], fp[order]
+            signed = fp.view(np.int64)
+            kept = forest(pair for a, b in trie_pairs(group, fp, budget)
+                          for pair in zip(signed[a].tolist(), signed[b].tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in kept], pa.int64()),
+                 pa.array([b for _, b in kept], pa.int64())], names=["a", "b"])
     return run
 
 
@@ -178,7 +193,9 @@ def links(prints: DataFrame, bits: int = BITS, group_rows: int = GROUP_ROWS) ->
         if not more:
             break
         open_ = settle(grouped.join(large, "bucket", "left_semi").select("fp", "path"), "split")
-    return arrow(ready.select("bucket", "fp").repartition("bucket"), _links(bits), "a long, b long")
+    # Sorted, so that a task holds some groups at a time, however many it gets.
+    groups = ready.select("bucket", "fp").repartition("bucket").sortWithinPartitions("bucket")
+    return arrow(groups, _links(bits), "a long, b long")
 
 
 def grouped_prints(prints: DataFrame) -> DataFrame:

@@ -61,18 +61,18 @@ def _symbol(c: str) -> int:
 def letter_counts(docs: DataFrame) -> np.ndarray:
     """How often three symbols follow each other, over all texts."""
     size = _SYMBOLS ** 3
-    lookup = np.zeros(256, np.int64)
+    lookup = np.zeros(256, np.uint8)
     lookup[97:123], lookup[65:91], lookup[128:] = range(1, 27), range(1, 27), 27
 
     def run(batches):
         total = np.zeros(size, np.int64)
         for batch in batches:
             data, offsets = buffers(batch.column(0))
-            for at in range(0, len(data), 1 << 20):
-                # Continuation bytes are left out, so that a letter is one symbol; a text's end
-                # is not marked: texts are long, and most end with a sign.
-                part = data[at:at + (1 << 20)]
-                s = lookup[part[(part & 0xC0) != 0x80]]
+            # Continuation bytes are left out, so that a letter is one symbol; a text's end is not
+            # marked: texts are long, and most end with a sign.
+            symbols = lookup[data[(data & 0xC0) != 0x80]]
+            for at in range(0, len(symbols) - 2, 1 << 20):
+                s = symbols[at:at + (1 << 20) + 2].astype(np.int64)
                 total += np.bincount((s[:-2] * _SYMBOLS + s[1:-1]) * _SYMBOLS + s[2:],
                                      minlength=size)
         some = np.flatnonzero(total)
@@ -265,10 +265,12 @@ def lexicon(rows: DataFrame, letters: list) -> dict[str, float]:
     return {r["entry"]: r["odds"] for r in best}
 
 
-def regression(x: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
-    """Logistic regression by Newton's method, rows weighted to the `prior` of label 1."""
-    weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
-    beta, penalty = np.zeros(x.shape[1]), np.diag([0.0, 0.01, 0.01]) * len(y) * 0.01
+def regression(x: np.ndarray, y: np.ndarray, n: np.ndarray, prior: float) -> np.ndarray:
+    """Logistic regression by Newton's method; each row counts `n` times, weighted to the `prior`
+    of label 1."""
+    toxic = (n * y).sum() / n.sum()
+    weight = n * np.where(y == 1, prior / max(toxic, 1e-9), (1 - prior) / max(1 - toxic, 1e-9))
+    beta, penalty = np.zeros(x.shape[1]), np.diag([0.0, 0.01, 0.01]) * n.sum() * 0.01
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         slope = x.T @ (weight * (p - y)) + penalty @ beta
@@ -293,11 +295,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_
                 [*(pa.array([v[k] for v in x], pa.float64()) for k in range(3)),
                  batch.column(1).cast(pa.float64())], names=list("abcy"))
 
+    # At most six numbers of entries times LEXICON weights times two labels.
     table = np.array([c.to_numpy() for c in arrow(rows, run, "a double, b double, c double, y double")
                       .groupBy("a", "b", "c", "y").count().toArrow().columns])
-    x, y = np.repeat(table[:3].T, table[4].astype(int), 0), np.repeat(table[3], table[4].astype(int))
     known = labels.where(learn).agg(F.avg("toxic")).first()[0]
-    model.regression = regression(x, y, min(max(known, 0.01), 0.99))
+    model.regression = regression(table[:3].T, table[3], table[4], min(max(known, 0.01), 0.99))
     return model
 
 
