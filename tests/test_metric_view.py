@@ -4,7 +4,7 @@ import pytest
 from frames import customers, line, lines, products
 from pyspark.sql import functions as F
 
-from tradegrain.plans.metric_view import UnknownName
+from tradegrain.plans.metric_view import RepeatedKey, UnknownName
 from tradegrain.plans.sales_metrics import margin_by_segment, sales_metrics
 
 ADDITIVE = ["Total Revenue", "Total Profit", "Order Count", "Units Sold"]
@@ -110,3 +110,35 @@ def test_repeated_join_keys_are_found(spark, rows):
     sales = view(spark)
     twice = sales_metrics(sales.source, customers(spark, 1, 1, 2), sales.joins["products"].table)
     assert rows(twice.repeated_keys()) == [("customers", "1", 2)]
+
+
+def test_repeated_join_keys_raise(spark):
+    sales = view(spark)
+    twice = sales_metrics(sales.source, customers(spark, 1, 1, None, None, 2),
+                          sales.joins["products"].table)
+    with pytest.raises(RepeatedKey, match="customers"):
+        twice.query(["Region"], ["Total Revenue"])
+    assert twice.query(["Category"], ["Total Revenue"]).count() == 3    # does not join them
+
+
+def test_order_by_what_is_not_selected(spark):
+    sales = view(spark)
+    found = sales.query(["Segment"], ["Units Sold"], order_by=["Total Revenue"])
+    assert [tuple(r) for r in found.collect()] == [("y", 5), (None, 5), ("x", 6)]
+    found = sales.query_slices([["Segment"], []], ["Units Sold"], order_by=["slice", "Segment"])
+    assert [r[0] for r in found.collect()] == [0, 0, 0, 1]
+    for wrong in ("Category", "Happiness"):
+        with pytest.raises(UnknownName, match=wrong):
+            sales.query(["Segment"], ["Units Sold"], order_by=[wrong])
+
+
+def test_equal_slices_and_tests_of_slices(spark, rows):
+    sales = view(spark)
+    found = sales.query_slices([["Segment", "Category"], [], ["Category", "Segment"], []],
+                               ["Units Sold"], where={"Segment": lambda s: s == "x"},
+                               having={"Order Count": lambda n: n >= 1})
+    parts = [rows(found.filter(F.col("slice") == n).drop("slice")) for n in range(4)]
+    assert parts[0] == parts[2] and parts[1] == parts[3] == [(None, None, 6)]
+    assert len(parts[0]) == 3
+    cube = sales.cube(["Segment"], ["Units Sold"], having={"Units Sold": lambda n: n > 5})
+    assert rows(cube) == [(0, "x", 6), (1, None, 16)]

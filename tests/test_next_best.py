@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import plain_forms
 from frames import customers, products
+from tradegrain.operators import next_best as module
 from tradegrain.operators.next_best import next_best
 
 
@@ -58,3 +59,14 @@ def test_every_customer_once(spark):
     who = customers(spark, *[(i, "x") for i in range(9)])
     found = next_best(who, products(spark, "A", "B"), bought(spark, (1, "A"), (2, "B")))
     assert found.count() == 9 == found.agg(F.count_distinct("customer_id")).first()[0]
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_one_rank_for_nearly_all(spark, rows, monkeypatch, limit):
+    """Customers that own nothing, with and without segment, by both ways to name their product."""
+    monkeypatch.setattr(module, "BROADCAST_ROWS", limit)
+    who = customers(spark, *[(i, "x" if i % 2 else None) for i in range(400)])
+    best = check(spark, rows, who, products(spark, "A", "B", "C"),
+                 [(1, "B"), (2, "A"), (4, "A"), (4, "B"), (4, "C")], head=2)
+    assert best[3] == "B" and best[0] == "A" and best[1] == "A" and best[2] == "B"
+    assert best[4] is None and len(best) == 400

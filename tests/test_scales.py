@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradegrain.operators import scales
 from tradegrain.operators.numbering import number_rows
 from tradegrain.operators.scales import add_scales, ntile, percentile
 from tradegrain.session import settle
@@ -46,10 +45,28 @@ def test_equal_to_windows(spark, same, n):
     same(expected(df), add_scales(df, asked(), "id"))
 
 
-def test_many_groups_are_joined(spark, same, monkeypatch):
-    monkeypatch.setattr(scales, "LITERAL_GROUPS", 0)
-    df = table(spark, 400, seed=2)
-    same(expected(df), add_scales(df, asked(), "id"))
+def test_keys_keep_their_type(spark, same):
+    """Doubles that a decimal could not hold, beside keys of other types."""
+    values = [1e-9, 2e-9, 9e-9, -3e30, 2e31, 0.0, -0.0, 5e-324, 1.5, float("nan"), float("inf"),
+              float("-inf"), None, 2e31]
+    df = settle(spark.createDataFrame(
+        [(i, "a" if i % 3 else "b", v, i % 4) for i, v in enumerate(values)],
+        "id long, g string, d double, v int").repartition(3), "doubles")
+    found = add_scales(df, [percentile("p", F.col("d")), percentile("pg", F.col("d"), "g"),
+                            ntile("n", F.col("d"), 5), ntile("nv", F.col("v"), 3)], "id")
+
+    def pct(window):
+        return F.round(100 * F.percent_rank().over(window), 1)
+    wanted = df.select("*", pct(W.orderBy("d")).alias("p"),
+                       pct(W.partitionBy("g").orderBy("d")).alias("pg"),
+                       F.ntile(5).over(W.orderBy("d", "id")).alias("n"),
+                       F.ntile(3).over(W.orderBy("v", "id")).alias("nv"))
+    same(wanted.drop("d"), found.drop("d"))
+
+
+def test_decimals_are_bounded():
+    with pytest.raises(ValueError):
+        percentile("p", F.col("v"), decimals=4)
 
 
 def test_text_ids(spark, same):

@@ -55,6 +55,7 @@ def test_publish_and_lookup(spark, rows, tmp_path):
     assert "PushedFilters: [In(k" in hit._jdf.queryExecution().executedPlan().toString()
     wanted = spark.createDataFrame([(3,), (5000,), (3,)], "k long")
     assert rows(serving.lookup_many(published, "k", wanted)) == [(3, 6)]
+    assert serving.lookup_many(published, "k", wanted.filter("k < 0")).count() == 0
     with pytest.raises(ValueError):
         serving.publish(card.withColumn("k", F.lit(1)), str(tmp_path / "bad"), "k")
 
@@ -69,3 +70,16 @@ def test_sync_and_restore(spark, rows, tmp_path):
         restored = serving.restore(spark, history, "k", version)
         assert rows(restored, "k", "name", "n") == rows(card, "k", "name", "n")
     assert serving.read_history(spark, history).filter("version = 2").count() == 0
+
+
+@pytest.mark.parametrize("limit", [200_000, 1])
+def test_many_keys_leave_the_snapshot_in_place(spark, rows, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(serving, "BROADCAST_ROWS", limit)
+    card = spark.range(1000).selectExpr("id as k", "id * 2 as v").repartition(4)
+    published = serving.publish(card, str(tmp_path / "card"), "k")
+    wanted = spark.range(300, 700, 5).union(spark.range(300, 400, 50)).selectExpr("id as k")
+    found = serving.lookup_many(published, "k", wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,300)" in plan and "LessThanOrEqual(k,695)" in plan
+    assert limit == 1 or "hashpartitioning" not in plan
+    assert rows(found) == [(k, 2 * k) for k in range(300, 700, 5)]

@@ -8,7 +8,12 @@ the purchases of a customer over all tasks.
 
 Most customers lack one of the segment's top few products, so a short ranking settles them
 with a small, usually broadcast, list. Who holds all of it goes on to the whole ranking of
-the segment, and who holds all of that (or whose segment has no buyers) to the products by id.
+the segment, and who holds all of that (or whose segment has no buyers) to the products by id,
+where customers without a segment go at once.
+
+Many customers share a first missing rank (all who own nothing share rank 1). The distinct ranks
+that are needed find their products first; those answers are broadcast after their rows were
+counted, and beyond the bound both sides are spread over SPREAD shares of a rank.
 """
 
 from __future__ import annotations
@@ -19,9 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradegrain.operators.numbering import number_rows
-from tradegrain.session import settle
+from tradegrain.session import BROADCAST_ROWS, settle
 
 HEAD = 256
+SPREAD = 64
 
 
 def next_best(customers: DataFrame, products: DataFrame, bought: DataFrame,
@@ -32,16 +38,15 @@ def next_best(customers: DataFrame, products: DataFrame, bought: DataFrame,
     `bought` distinct customer_id, product_id pairs of known products. `bought` is read up to
     four times and should be a written table; only these two columns of it are shuffled.
     """
-    todo = customers.select("customer_id", "segment")
+    everyone = customers.select("customer_id", "segment")
+    todo = everyone.filter(F.col("segment").isNotNull())
     pairs = bought.select("customer_id", "product_id")
-    popularity = (pairs.join(todo, "customer_id").filter(F.col("segment").isNotNull())
-                  .groupBy("segment", "product_id").agg(F.count(F.lit(1)).alias("buyers"))
+    popularity = (pairs.join(todo, "customer_id").groupBy("segment", "product_id").agg(F.count(F.lit(1)).alias("buyers"))
                   .join(products.select("product_id", "product_name"), "product_id"))
 
     rankings: list[Callable[[], DataFrame]] = [
         lambda: _top_of_segment(popularity, head),
         lambda: _whole_segment(popularity),
-        lambda: _by_id(products),
     ]
     done: list[DataFrame] = []
     for make in rankings:
@@ -51,9 +56,10 @@ def next_best(customers: DataFrame, products: DataFrame, bought: DataFrame,
         todo = found.filter(F.col("product_id").isNull()).select("customer_id", "segment")
         if todo.isEmpty():
             break
-    else:
-        done.append(found.filter(F.col("product_id").isNull()))
 
+    todo = todo.unionByName(everyone.filter(F.col("segment").isNull()))
+    if not todo.isEmpty():
+        done.append(_first_missing(todo, pairs.join(todo, "customer_id"), _by_id(products)))
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)
@@ -94,8 +100,16 @@ def _first_missing(customers: DataFrame, held: DataFrame, ranking: DataFrame) ->
                .groupBy("customer_id")
                .agg(F.min(F.when(~F.col("holds"), F.col("at"))).alias("gap"),
                     F.max(F.col("holds") & (F.col("at") == 1)).alias("holds_first")))
-    gaps = (customers.join(missing, "customer_id", "left")
-            .select("customer_id", "segment",
-                    F.when(F.col("holds_first"), F.col("gap")).otherwise(1).alias("rank")))
-    return gaps.join(ranking, [*keys, "rank"], "left").select(
-        "customer_id", "segment", "product_id", "product_name")
+    gaps = settle(customers.join(missing, "customer_id", "left").select(
+        "customer_id", "segment",
+        F.when(F.col("holds_first"), F.col("gap")).otherwise(1).cast("long").alias("rank")), "gaps")
+    needed = gaps.select(*keys, "rank").distinct()
+    answers = settle(needed.join(ranking, [*keys, "rank"])
+                     .select(*keys, "rank", "product_id", "product_name"), "answers")
+    if answers.count() <= BROADCAST_ROWS:
+        named = gaps.join(F.broadcast(answers), [*keys, "rank"], "left")
+    else:
+        shares = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+        named = (gaps.withColumn("_share", F.pmod(F.xxhash64("customer_id"), F.lit(SPREAD)).cast("int"))
+                 .join(answers.withColumn("_share", shares), [*keys, "rank", "_share"], "left"))
+    return named.select("customer_id", "segment", "product_id", "product_name")

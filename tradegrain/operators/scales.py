@@ -9,7 +9,6 @@ themselves are then scored in place, by a binary search in a short array.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -17,16 +16,11 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from tradegrain.operators.numbering import number_rows
 from tradegrain.session import settle
 
-_KEY = "decimal(38,8)"
-
-# Level arrays (each bounded by the scale's levels) go into the plan as constants if there are
-# at most so many in all; beyond that, those of the grouped scales are joined.
-LITERAL_GROUPS = 64
+MOST_DECIMALS = 3      # of a percentile, whose levels are one array in each group
 
 
 @dataclass(frozen=True)
@@ -63,6 +57,9 @@ def ntile(name: str, key: Column, tiles: int,
 
 def percentile(name: str, key: Column, group: str | None = None, decimals: int = 1) -> Scale:
     """ROUND(100 * PERCENT_RANK(), decimals) over the ascending key, whole or per group."""
+    if not 0 <= decimals <= MOST_DECIMALS:
+        raise ValueError(f"decimals must be 0 to {MOST_DECIMALS}")
+
     def level(position: Column, size: Column) -> Column:
         rank = F.when(size > 1, position / F.greatest(size - 1, F.lit(1))).otherwise(0.0)
         return F.round(F.lit(100) * rank, decimals)
@@ -72,60 +69,37 @@ def percentile(name: str, key: Column, group: str | None = None, decimals: int =
 def add_scales(df: DataFrame, scales: Sequence[Scale], tie: str) -> DataFrame:
     """Add one column per scale. `tie` is a unique column; `df` should be a written table,
     since it is read once for the keys and once for the scores."""
-    levels = _levels(df, scales, tie)
-    few = levels.select("_scale", _group_name(F.col("_group")), F.to_json("_levels")).take(
-        LITERAL_GROUPS + 1)
-    if len(few) > LITERAL_GROUPS:
-        levels = settle(levels, "levels")
-        few = (levels.filter(F.col("_scale").isin(
-                   [i for i, scale in enumerate(scales) if scale.group is None]))
-               .select("_scale", _group_name(F.col("_group")), F.to_json("_levels")).collect())
-        joined = [i for i, scale in enumerate(scales) if scale.group is not None]
-    else:
-        joined = []
-
+    kinds = [df.select(scale.key).schema[0].dataType.simpleString() for scale in scales]
+    levels = settle(_levels(df, scales, kinds, tie), "levels")
     scored, scores = df, {}
     for number, scale in enumerate(scales):
-        key = _sort_key(scale, tie)
-        if number in joined:
-            mine = (levels.filter(F.col("_scale") == number)
-                    .select(F.col("_group").alias(f"_group_{number}"),
-                            F.col("_levels").alias(f"_levels_{number}")))
+        key, mine = _sort_key(scale, kinds, number, tie), levels.filter(F.col("_scale") == number)
+        array = f"_levels_{number}"
+        if scale.group is None:
+            # One row of bounded size: the same value for all rows, without a join.
+            scored = scored.withColumn(array, mine.select("_levels").scalar())
+        else:
+            mine = mine.select(F.col("_group").alias(f"_group_{number}"),
+                               F.col("_levels").alias(array))
             scored = scored.join(mine, F.equal_null(F.col(scale.group).cast("string"),
                                                     F.col(f"_group_{number}")), "left")
-            found = _find(F.col(f"_levels_{number}"), key, scale.max_levels)["level"]
-        else:
-            found = _find_in_literal([r[1:] for r in few if r[0] == number],
-                                     levels.schema["_levels"].dataType, scale, key)
+        found = _find(F.col(array), key, scale.max_levels)["level"]
         scores[scale.name] = F.coalesce(found, F.lit(scale.lowest).cast("double")).cast(scale.type)
     return scored.select(*df.columns, *[score.alias(name) for name, score in scores.items()])
 
 
-def _find_in_literal(rows: Sequence[tuple], levels: DataType, scale: Scale, key: Column) -> Column:
-    """The search over arrays held in the plan as one constant: no join, no copy per row."""
-    arrays = "{" + ",".join(f"{json.dumps(group)}:{array}" for group, array in rows) + "}"
-    constant = F.from_json(F.lit(arrays), f"map<string,{levels.simpleString()}>")
-    group = _group_name(F.col(scale.group).cast("string") if scale.group
-                        else F.lit(None).cast("string"))
-    return F.transform(F.array(F.try_element_at(constant, group)),
-                       lambda array: _find(array, key, scale.max_levels)["level"])[0]
-
-
-def _group_name(group: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("="), group), F.lit(""))
-
-
-def _levels(df: DataFrame, scales: Sequence[Scale], tie: str) -> DataFrame:
+def _levels(df: DataFrame, scales: Sequence[Scale], kinds: Sequence[str], tie: str) -> DataFrame:
     """Per scale and group, the sorted array of (last key of a level, level that follows)."""
     keys = F.array(*[
         F.struct(F.lit(i).alias("_scale"),
                  (F.col(s.group).cast("string") if s.group else F.lit(None).cast("string"))
                  .alias("_group"),
-                 _null_rank(s).alias("_null"), _key(s).alias("_key"))
+                 _null_rank(s).alias("_null"), *_keys(s, kinds, i))
         for i, s in enumerate(scales)])
     long = (df.select(F.explode(keys).alias("_k"), F.col(tie).alias("_tie"))
             .select("_k.*", "_tie"))
-    numbered = number_rows(long, ["_scale", "_group"], ["_null", "_key", "_tie"])
+    names = [f"_key_{n}" for n in range(len(set(kinds)))]
+    numbered = number_rows(long, ["_scale", "_group"], ["_null", *names, "_tie"])
 
     def level(position: Column) -> Column:
         size = F.col("group_size")
@@ -141,7 +115,7 @@ def _levels(df: DataFrame, scales: Sequence[Scale], tie: str) -> DataFrame:
                .withColumn("_next", level(F.col("position") + 1))
                .filter(level(F.col("position")) != F.col("_next")))
     step = F.struct(
-        F.struct("_null", "_key", F.when(apart, F.col("_tie")).alias("_tie")).alias("key"),
+        F.struct("_null", *names, F.when(apart, F.col("_tie")).alias("_tie")).alias("key"),
         F.col("_next").alias("level"))
     return (changes.groupBy("_scale", "_group")
             .agg(F.array_sort(F.collect_list(step)).alias("_levels")))
@@ -151,14 +125,16 @@ def _null_rank(scale: Scale) -> Column:
     return F.when(scale.key.isNotNull(), 0).otherwise(-1 if scale.nulls == "first" else 1)
 
 
-def _key(scale: Scale) -> Column:
-    return F.coalesce(scale.key.cast(_KEY), F.lit(0).cast(_KEY))
+def _keys(scale: Scale, kinds: Sequence[str], number: int) -> list[Column]:
+    """A column for each type of key, in its own type; only the scale's own one is filled."""
+    return [(scale.key if kind == kinds[number] else F.lit(None)).cast(kind).alias(f"_key_{n}")
+            for n, kind in enumerate(dict.fromkeys(kinds))]
 
 
-def _sort_key(scale: Scale, tie: str) -> Column:
+def _sort_key(scale: Scale, kinds: Sequence[str], number: int, tie: str) -> Column:
     """The row's key as in the level array; a NULL tie sorts before all, so that rows of
     equal key come after no change that one of them made."""
-    return F.struct(_null_rank(scale).alias("_null"), _key(scale).alias("_key"),
+    return F.struct(_null_rank(scale).alias("_null"), *_keys(scale, kinds, number),
                     F.when(F.lit(scale.ties_apart), F.col(tie)).alias("_tie"))
 
 

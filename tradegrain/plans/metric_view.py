@@ -63,6 +63,10 @@ class UnknownName(ValueError):
     """A dimension or measure that the view does not define."""
 
 
+class RepeatedKey(ValueError):
+    """A joined table has several rows for one key."""
+
+
 @dataclass
 class MetricView:
     source: DataFrame
@@ -71,7 +75,6 @@ class MetricView:
     measures: Mapping[str, Measure]
     joins: Mapping[str, Join] = field(default_factory=dict)
     comment: str = ""
-    version: str = "1.1"
     broadcast_rows: int = BROADCAST_ROWS
     _rows: dict[str, int] = field(default_factory=dict, repr=False)
 
@@ -84,44 +87,56 @@ class MetricView:
         """The measures at the grain of the dimensions; none of them gives the grand total.
 
         Only the dimension tables that the names need are joined. `where` tests dimensions
-        and `having` tests measures, each by name.
+        and `having` tests measures, each by name. `order_by` takes the dimensions of the query
+        and any measure, also one that is not selected.
         """
         where, having = where or {}, having or {}
         self._check(dimensions, measures, where, having)
-        wanted = list(dict.fromkeys([*measures, *having]))
+        wanted = self._wanted(dimensions, measures, having, order_by)
         rows = self._rows_to_sum(list(dict.fromkeys(dimensions)), wanted, where)
         totals = rows.groupBy(*[F.col(_quoted(d)) for d in dimensions]).agg(*self._totals(wanted))
         return self._finish(totals, list(dimensions), measures, wanted, having, order_by)
 
     def query_slices(self, slices: Sequence[Sequence[str]], measures: Sequence[str],
-                     where: Mapping[str, Test] | None = None) -> DataFrame:
-        """Several groupings in one pass, told apart by `slice` (its number in the list).
+                     where: Mapping[str, Test] | None = None,
+                     having: Mapping[str, Test] | None = None,
+                     order_by: Sequence[str | Column] = ()) -> DataFrame:
+        """Several groupings in one pass, told apart by `slice` (its number in the list). Equal
+        slices are computed once and listed under each of their numbers.
 
         The facts are first summed to the finest grain, so that the expansion into one copy
         per slice happens on that small table and not on the lines.
         """
-        where = where or {}
+        where, having = where or {}, having or {}
         names = list(dict.fromkeys(name for one in slices for name in one))
-        self._check(names, measures, where, {})
-        rows = self._rows_to_sum(names, measures, where)
+        self._check(names, measures, where, having)
+        wanted = self._wanted(["slice", *names], measures, having, order_by)
+        rows = self._rows_to_sum(names, wanted, where)
         fine = _sum_up(rows, [c for c in rows.columns if not c.startswith("_t_")],
                        [c for c in rows.columns if c.startswith("_t_")])
         keys = {name: F.col(_quoted(name)) for name in names}
-        grouped = fine.groupingSets([[keys[n] for n in one] for one in slices], *keys.values())
-        totals = grouped.agg(*self._totals(measures), F.grouping_id().alias("_set"))
-        number = F.create_map(*[F.lit(x) for i, one in enumerate(slices)
-                                for x in (_grouping_id(names, one), i)])
-        totals = totals.withColumn("slice", number[F.col("_set").cast("int")])
-        return self._finish(totals, ["slice", *names], measures, list(measures), {}, ())
-
-    def cube(self, dimensions: Sequence[str], measures: Sequence[str]) -> DataFrame:
+        numbers: dict[int, list[int]] = {}
+        for i, one in enumerate(slices):
+            numbers.setdefault(_grouping_id(names, one), []).append(i)
+        sets = [[keys[n] for i, n in enumerate(reversed(names)) if not bits >> i & 1]
+                for bits in numbers]
+        totals = (fine.groupingSets(sets, *keys.values())
+                  .agg(*self._totals(wanted), F.grouping_id().alias("_set")))
+        number = F.create_map(*[x for bits, own in numbers.items()
+                                for x in (F.lit(bits), F.array(*map(F.lit, own)))])
+        totals = totals.withColumn("slice", F.explode(number[F.col("_set").cast("int")]))
+        return self._finish(totals, ["slice", *names], measures, wanted, having, order_by)
+
+    def cube(self, dimensions: Sequence[str], measures: Sequence[str],
+             where: Mapping[str, Test] | None = None, having: Mapping[str, Test] | None = None,
+             order_by: Sequence[str | Column] = ()) -> DataFrame:
         """All subsets of the dimensions as slices; slice bits mark the dimensions left out."""
         subsets = [[d for i, d in enumerate(reversed(dimensions)) if not bits >> i & 1][::-1]
                    for bits in range(2 ** len(dimensions))]
-        return self.query_slices(subsets, measures)
+        return self.query_slices(subsets, measures, where, having, order_by)
 
     def repeated_keys(self) -> DataFrame:
-        """Keys that occur more than once in a joined table, which would inflate every sum."""
+        """Keys that occur more than once in a joined table; a query that joins it raises."""
         found = [join.table.groupBy(F.col(join.key).cast("string").alias("key"))
                  .agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
                  .select(F.lit(name).alias("join"), "key", "rows")
@@ -225,19 +240,39 @@ class MetricView:
         result = totals.select(*kept, *[value(m).alias(m) for m in wanted])
         for name, test in having.items():
             result = result.filter(test(F.col(_quoted(name))))
-        result = result.select(*kept, *[F.col(_quoted(m)) for m in measures])
         if order_by:
             result = result.orderBy(*[F.col(_quoted(o)) if isinstance(o, str) else o
                                       for o in order_by])
-        return result
+        return result.select(*kept, *[F.col(_quoted(m)) for m in measures])
 
     # --- helpers ---------------------------------------------------------------------------
 
     def _row_count(self, join: str) -> int:
+        """Rows of a joined table. The same aggregate of its keys finds repeated ones, which
+        would count lines more than once."""
         if join not in self._rows:
-            self._rows[join] = self.joins[join].table.count()
+            key = self.joins[join].key
+            counts = (self.joins[join].table.groupBy(F.col(key).alias("key"))
+                      .agg(F.count(F.lit(1)).alias("rows")))
+            matched = F.when(F.col("key").isNotNull(), F.col("rows"))
+            rows, most, example = counts.agg(
+                F.coalesce(F.sum("rows"), F.lit(0)), F.max(matched),
+                F.max_by(F.col("key").cast("string"), matched)).first()
+            if (most or 0) > 1:
+                raise RepeatedKey(f"{key} of {join} must be unique; {example} has {most} rows")
+            self._rows[join] = rows
         return self._rows[join]
 
+    def _wanted(self, dimensions: Iterable[str], measures: Iterable[str],
+                having: Iterable[str], order_by: Iterable[str | Column]) -> list[str]:
+        """The measures to compute: those selected, tested, or ordered by."""
+        ordered = [o for o in order_by if isinstance(o, str) and o not in dimensions]
+        for name in ordered:
+            if name not in self.measures:
+                raise UnknownName(f"cannot order by {name!r}; there are: "
+                                  f"{', '.join([*dimensions, *self.measures])}")
+        return list(dict.fromkeys([*measures, *having, *ordered]))
+
     def _check(self, dimensions: Iterable[str], measures: Iterable[str],
                where: Mapping[str, Test], having: Mapping[str, Test]) -> None:
         for kind, names, known in (("dimension", [*dimensions, *where], self.dimensions),

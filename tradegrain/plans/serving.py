@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradegrain.operators.changes import as_of, diff
 from tradegrain.operators.keys import require_unique
-from tradegrain.session import settle
+from tradegrain.session import BROADCAST_ROWS, settle
 
 
 def publish(df: DataFrame, path: str, key: str) -> DataFrame:
@@ -26,8 +26,15 @@ def lookup(snapshot: DataFrame, key: str, values: Iterable) -> DataFrame:
 
 
 def lookup_many(snapshot: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows of many keys, given as a table."""
-    return snapshot.join(wanted.select(key).distinct(), key, "left_semi")
+    """Rows of many keys, given as a table.
+
+    The least and the greatest key reach the file scan as a filter. Up to BROADCAST_ROWS keys go
+    to the snapshot, which stays where it is; only beyond that are both sides shuffled.
+    """
+    keys = settle(wanted.select(key).filter(F.col(key).isNotNull()).distinct(), "wanted")
+    rows, least, greatest = keys.agg(F.count(key), F.min(key), F.max(key)).first()
+    within = snapshot.filter(F.col(key).between(F.lit(least), F.lit(greatest)))
+    return within.join(F.broadcast(keys) if rows <= BROADCAST_ROWS else keys, key, "left_semi")
 
 
 def append_changes(history_path: str, changes: DataFrame, version: int) -> None:

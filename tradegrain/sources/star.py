@@ -120,3 +120,43 @@ def lines_with_issues(lines: DataFrame) -> DataFrame:
         "order_date": F.when(number % 269 == 0, F.date_add("order_date", 2600))
                        .otherwise(F.col("order_date")),
     })
+
+
+# --- the same tables with values outside the stated domains --------------------------------
+
+def products_off_domain(products: DataFrame) -> DataFrame:
+    number = F.col("product_id")
+    return products.withColumns({
+        "category": F.when(number % 73 == 0, "Mixed").otherwise(F.col("category")),
+        "cost": F.when(number % 79 == 0, F.col("list_price")).otherwise(F.col("cost")),
+    })
+
+
+def lines_off_domain(lines: DataFrame) -> DataFrame:
+    number = F.col("order_id")
+    half = (F.col("discount_pct") + F.lit("0.5").cast("decimal(2,1)")).cast("decimal(5,2)")
+    return lines.withColumns({
+        "discount_pct": F.when(number % 281 == 0, half).otherwise(F.col("discount_pct")),
+        "currency": F.when(number % 277 == 0, "EUR").otherwise(F.col("currency")),
+    })
+
+
+# --- raw entities as JSON lines, with faults that only their reader meets ------------------
+
+def json_lines(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """One column of text per entity. Some dates and prices are words, some lines lack a key, and
+    some are cut off."""
+    number = F.col("customer_id")
+    customers = raw["customers"].withColumn("join_date", F.when(number % 47 == 0, "soon").otherwise(
+        F.col("join_date").cast("string")))
+    number = F.col("product_id")
+    products = raw["products"].withColumn("list_price", F.when(number % 83 == 0, "oops").otherwise(
+        F.col("list_price").cast("string")))
+    orders = raw["orders"].withColumn("order_id", F.when(F.col("order_id") % 307 != 0,
+                                                         F.col("order_id")))
+    whole = F.to_json(F.struct(*orders.columns))
+    return {"customers": customers.select(F.to_json(F.struct(*customers.columns)).alias("value")),
+            "products": products.select(F.to_json(F.struct(*products.columns)).alias("value")),
+            "orders": orders.select(F.when(F.col("order_id") % 293 == 0,
+                                           F.regexp_replace(whole, "}$", "")).otherwise(whole)
+                                    .alias("value"))}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import wraps
+from dataclasses import replace
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StructType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from tradegrain.functions import slug
 from tradegrain.operators import changes, grain, keys, rules
@@ -18,9 +20,10 @@ from tradegrain.plans import scorecard as cards
 from tradegrain.plans.sales_metrics import margin_by_segment, sales_metrics
 from tradegrain.session import scratch_path, settle
 from tradegrain.sources import star as tpch
-from tradegrain.sources.json_files import read_json
+from tradegrain.sources.json_files import CORRUPT, read_json
 from tradegrain.sources.landing import land, landed_report
 from tradegrain.sources.star import Star, load_star, table
+from tradegrain.sources.tables import read_table, replace_table
 from tradegrain.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,10 +132,22 @@ def metric_slices(star):
     return _named(found, "slice", "Region", "Category", "Order Month")
 
 
+@query
+def metric_slices_filtered(star):
+    """Slices of which two are equal, by tested dimensions and measures."""
+    found = _view(star).query_slices(
+        [["Region"], ["Segment", "Region"], ["Region"]], ["Total Revenue", "Units Sold"],
+        where={"Category": lambda category: category.isin("PROMO", "LARGE")},
+        having={"Order Count": lambda lines: lines >= 20}, order_by=["slice", "Avg Order Value"])
+    return _named(found, "slice", "Region", "Segment")
+
+
 @query
 def metric_join_keys(star):
-    """Repeated keys of the joined tables: none."""
-    return _view(star).repeated_keys()
+    """Repeated keys of joined tables, one of which holds some customers twice."""
+    twice = star.customers.filter(F.col("customer_id") % 7 == 0)
+    return sales_metrics(star.lines, star.customers.unionByName(twice),
+                         star.products).repeated_keys()
 
 
 # --- scorecard and its parts ---------------------------------------------------------------
@@ -238,6 +253,13 @@ def scorecard(star):
 
 
 SCORECARD_AS_OF = "1999-06-30"
+EARLY = "1995-03-31"      # most customers have no line until then
+
+
+@query
+def scorecard_as_of_early(star):
+    return cards.scorecard(star.customers, star.products, star.lines,
+                           as_of=EARLY).drop("computed_at")
 
 
 @query
@@ -254,28 +276,31 @@ def _raw(star: Star) -> dict[str, DataFrame]:
             "orders": tpch.lines_with_issues(star.lines)}
 
 
-def _entities(star: Star) -> dict[str, medallion.Entity]:
-    today = grain.anchor_date(star.lines).first()[0]
-    return {
-        "customers": medallion.Entity(
-            "customers", star.customers.schema, "customer_id",
+def _entity(star: Star, name: str) -> medallion.Entity:
+    """Only the rules of the lines need the last day of the lines."""
+    if name == "customers":
+        return medallion.Entity(
+            name, star.customers.schema, "customer_id",
             sales_rules.customer_rules(tpch.STAR_REGIONS, tpch.STAR_SEGMENTS),
-            {"region": tpch.STAR_REGIONS, "segment": tpch.STAR_SEGMENTS}),
-        "products": medallion.Entity(
-            "products", star.products.schema, "product_id", sales_rules.product_rules(),
-            {"category": tpch.STAR_CATEGORIES}),
-        "orders": medallion.Entity(
-            "orders", star.lines.schema, "order_id", sales_rules.order_rules(today)),
-    }
+            {"region": tpch.STAR_REGIONS, "segment": tpch.STAR_SEGMENTS})
+    if name == "products":
+        return medallion.Entity(name, star.products.schema, "product_id",
+                                sales_rules.product_rules(), {"category": tpch.STAR_CATEGORIES})
+    today = grain.anchor_date(star.lines).first()[0]
+    return medallion.Entity(name, star.lines.schema, "order_id", sales_rules.order_rules(today))
+
+
+def _entities(star: Star) -> dict[str, medallion.Entity]:
+    return {name: _entity(star, name) for name in ("customers", "products", "orders")}
 
 
 def _violations(star: Star, name: str) -> DataFrame:
-    entity = _entities(star)[name]
+    entity = _entity(star, name)
     return rules.violations(medallion.normalise(_raw(star)[name], entity), entity.rules, name)
 
 
 def _silver(star: Star, name: str) -> medallion.Silver:
-    return medallion.silver(_raw(star)[name], _entities(star)[name])
+    return medallion.silver(_raw(star)[name], _entity(star, name))
 
 
 def _joined_rules(quarantine: DataFrame) -> DataFrame:
@@ -304,10 +329,24 @@ def dq_issue_summary(star):
 
 @query
 def dq_domain(star):
-    return (rules.violations(star.products,
+    return (rules.violations(tpch.products_off_domain(star.products),
                              sales_rules.domain_rules_products(tpch.STAR_CATEGORIES), "products")
-            .unionByName(rules.violations(star.lines, sales_rules.domain_rules_orders(),
-                                          "orders")))
+            .unionByName(rules.violations(tpch.lines_off_domain(star.lines),
+                                          sales_rules.domain_rules_orders(), "orders")))
+
+
+@query
+def dq_actions(star):
+    """Lines by what becomes of them: a line without positive quantity is dropped, one that breaks
+    another rule is set aside, and one without a key would end the job."""
+    entity = _entity(star, "orders")
+    actions = [replace(rule, action="drop") if rule.name == "quantity_positive" else rule
+               for rule in entity.rules]
+    actions.append(rules.Rule("order_id_present", F.col("order_id").isNotNull(), "fail"))
+    parts = rules.split(rules.apply_rules(_raw(star)["orders"], actions), actions)
+    return reduce(DataFrame.unionByName, [
+        rows.agg(F.lit(part).alias("part"), F.count(F.lit(1)).alias("rows"))
+        for part, rows in parts._asdict().items()])
 
 
 @query
@@ -393,6 +432,54 @@ def name_slug(star):
         " -- ", "customer_name", "region", "account_manager")).alias("slug"))
 
 
+def _json_silver(star: Star) -> dict[str, medallion.Silver]:
+    """All three entities written as JSON lines, read as they are, and cleaned."""
+    spark, found = star.lines.sparkSession, {}
+    for name, lines in tpch.json_lines(_raw(star)).items():
+        folder = scratch_path(spark, f"json-{name}")
+        lines.write.text(folder)
+        entity = _entity(star, name)
+        # Prices come as text, and are parsed when the entity is cleaned.
+        schema = StructType([StructField(f.name, StringType() if f.name == "list_price"
+                                         else f.dataType) for f in entity.schema])
+        found[name] = medallion.silver(medallion.bronze(spark, folder, schema), entity)
+    return found
+
+
+def _key(name: str):
+    return F.col({"customers": "customer_id", "products": "product_id", "orders": "order_id"}[name]
+                 ).cast("string").alias("key")
+
+
+@query
+def silver_from_json(star):
+    return reduce(DataFrame.unionByName, [
+        parts.table.select(
+            F.lit(name).alias("entity"), _key(name),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                               for c in parts.table.columns]).alias("row"))
+        for name, parts in _json_silver(star).items()])
+
+
+@query
+def quarantine_from_json(star):
+    return reduce(DataFrame.unionByName, [
+        _joined_rules(parts.quarantine).select(
+            F.lit(name).alias("entity"), _key(name), rules.FAILED,
+            F.col(CORRUPT).isNotNull().alias("malformed"),
+            F.col("_source_file").isNotNull().alias("has_source"))
+        for name, parts in _json_silver(star).items()])
+
+
+@query
+def rebuilt_table(star):
+    """A catalogued table that is built, then replaced by one of other columns, and read."""
+    name = f"rebuilt_{uuid.uuid4().hex}"
+    replace_table(star.customers.select("customer_id"), name)
+    replace_table(star.customers, name, "Customers, built twice", key="customer_id")
+    return read_table(star.customers.sparkSession, name)
+
+
 # --- serving -------------------------------------------------------------------------------
 
 def _rolling_at(star: Star, day) -> DataFrame:
@@ -458,11 +545,22 @@ def point_lookup(star):
     return serving.lookup_many(snapshot, "customer_id", wanted)
 
 
+@query
+def key_lookup(star):
+    """Snapshot rows of the first and the last customer that ordered, and of a key that no one
+    has."""
+    snapshot = serving.publish(grain.lifetime(_grain(star)),
+                               scratch_path(star.lines.sparkSession, "snapshot"), "customer_id")
+    ends = snapshot.agg(F.min("customer_id"), F.max("customer_id")).first()
+    return serving.lookup(snapshot, "customer_id", [*ends, -1])
+
+
 # --- files ---------------------------------------------------------------------------------
 
 def _landed(star: Star) -> str:
     root = scratch_path(star.lines.sparkSession, "landing")
-    land({"customers": star.customers, "products": star.products}, root, "clean")
+    land({"customers": star.customers, "products": star.products, "orders": star.lines}, root,
+         "clean")
     land({"customers": tpch.customers_with_issues(star.customers)}, root, "raw")
     return root
 
@@ -486,7 +584,8 @@ def json_decimal_hints(star):
 @query
 def landed_files(star):
     spark = star.lines.sparkSession
-    report = landed_report(spark, _landed(star), ("clean", "raw"), ("customers", "products"))
+    report = landed_report(spark, _landed(star), ("clean", "raw"),
+                           ("customers", "products", "orders"))
     return report.select("flavour", "entity", (F.col("files") > 0).alias("has_files"),
                          (F.col("bytes") > 0).alias("has_bytes"), "rows")
 
@@ -545,7 +644,7 @@ def stream_dedupe(spark, folder):
 
 def _streamed_silver(spark: SparkSession, folder: str) -> tuple[str, str, medallion.Entity]:
     valid, quarantine, state = (scratch_path(spark, n) for n in ("valid", "quarantine", "state"))
-    entity = _entities(load_star(spark, folder))["orders"]
+    entity = _entity(load_star(spark, folder), "orders")
     stream = tpch.lines_with_issues(_line_stream(spark, folder))
     jobs.finish(jobs.silver_stream(stream, entity, valid, quarantine, state))
     return valid, quarantine, entity
