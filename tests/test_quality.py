@@ -6,6 +6,7 @@ from frames import CUSTOMER, LINE, PRODUCT, customers, line, lines, products
 from pyspark.sql import functions as F
 
 from tradegrain.functions import canonical, slug
+from tradegrain.operators import keys
 from tradegrain.operators.keys import keep_one, orphans, repeated_keys, require_unique, surplus_rows
 from tradegrain.operators.rules import Rule, apply_rules, observed, split, violations
 from tradegrain.plans import medallion, sales_rules
@@ -158,12 +159,32 @@ def test_keep_one(spark, rows):
     assert rows(keep_one(df.select("k"), ["k"])) == [(1,), (2,)]
 
 
-def test_hot_key_collapses_before_the_shuffle(spark):
+@pytest.mark.parametrize("limit", [200_000, 1])
+def test_hot_key_collapses_before_the_shuffle(spark, monkeypatch, limit):
+    monkeypatch.setattr(keys, "BROADCAST_ROWS", limit)
     plan = (keep_one(spark.range(100).selectExpr("id % 3 as k", "id"), ["k"])
             ._jdf.queryExecution().executedPlan().toString())
     assert "partial_min" in plan and "Window" not in plan
 
 
+def test_rows_of_lone_keys_stay_in_place(spark):
+    lone = spark.range(100).selectExpr("id as k", "id * 2 as v")
+    assert "Exchange" not in keep_one(lone, ["k"])._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [200_000, 30, 1])
+def test_keep_one_by_any_way(spark, rows, monkeypatch, limit):
+    monkeypatch.setattr(keys, "BROADCAST_ROWS", limit)
+    df = (spark.range(400).selectExpr("if(id % 11 = 0, null, id % 97 * (id % 97)) as k",
+                                      "if(id % 5 = 0, null, cast(id % 7 as string)) as s",
+                                      "id % 3 as n").repartition(5))
+    kept = [tuple(r) for r in df.where("k is null").collect()]
+    whole = {}
+    for k, s, n in df.where("k is not null").collect():
+        whole.setdefault(k, []).append((s is not None, s or "", n, (k, s, n)))
+    assert rows(keep_one(df, ["k"])) == sorted(kept + [min(v)[3] for v in whole.values()], key=repr)
+
+
 def test_repeats(spark, rows):
     df = spark.createDataFrame([(1,), (1,), (1,), (2,), (3,), (3,)], "k int")
     assert rows(repeated_keys(df, ["k"])) == [(1, 3), (3, 2)]

@@ -72,6 +72,21 @@ def test_sync_and_restore(spark, rows, tmp_path):
     assert serving.read_history(spark, history).filter("version = 2").count() == 0
 
 
+@pytest.mark.parametrize("every", [1, 2, 3])
+def test_states_from_a_base_and_what_came_since(spark, rows, tmp_path, every):
+    history = str(tmp_path / "history")
+    cards = [snapshot(spark, seed, 0) for seed in (1, 2, 3, 3, 4, 1)]
+    cards.append(cards[-1].withColumn("extra", F.when(F.col("k") % 2 == 0, F.col("n"))))
+    cards.append(cards[-1].filter("k > 20"))
+    for version, card in enumerate(cards):
+        serving.sync(card, history, "k", version, every=every)
+    for version, card in enumerate(cards):
+        restored = serving.restore(spark, history, "k", version, every)
+        assert rows(restored, *card.columns) == rows(card)
+    known = serving.recent_history(spark, history, 7, every)
+    assert known.count() < serving.read_history(spark, history).count()
+
+
 @pytest.mark.parametrize("limit", [200_000, 1])
 def test_many_keys_leave_the_snapshot_in_place(spark, rows, tmp_path, monkeypatch, limit):
     monkeypatch.setattr(serving, "BROADCAST_ROWS", limit)

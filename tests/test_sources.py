@@ -84,6 +84,17 @@ def test_replace_files(spark, rows, tmp_path):
     assert rows(read_table(spark, path)) == [(0,), (1,)]
 
 
+def test_replace_table_from_itself_or_not_at_all(spark, rows):
+    name = "tradegrain_beside_test"
+    replace_table(spark.range(3).toDF("x"), name)
+    replace_table(spark.table(name).selectExpr("x + 1 as x", "'y' as y"), name)
+    with pytest.raises(Exception, match="broken"):
+        replace_table(spark.table(name).selectExpr("raise_error('broken') as x"), name)
+    assert rows(spark.table(name)) == [(1, "y"), (2, "y"), (3, "y")]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_replace_table(spark, rows):
     for n in (3, 2):
         replace_table(spark.range(n).toDF("x"), "tradegrain_replace_test", "it's a \\ test")

@@ -118,6 +118,27 @@ def test_upsert(spark, rows, feed, tmp_path):
     assert copy() == [(1, "B"), (2, "C")]       # not the late change of 1, nor the deleted 3
 
 
+def test_upsert_over_folded_batches(spark, rows, feed, tmp_path):
+    batches = [(line(10, 1, "A"), line(20, 2, "A")), (line(30, 3, "E"), line(31, 1, "B")),
+               (line(11, 1, "late"), line(21, 2, "B")), (line(29, 3, "late"),),
+               (line(40, 4, "A"),), (line(50, 2, "E"),)]
+    for batch in batches:
+        folder = feed(*batch)
+    history = str(tmp_path / "history")
+    changed = stream(spark, folder, 1).select("customer_id", "order_id", "product_id", F.when(
+        F.col("product_id") == "E", "DELETE").otherwise("UPDATE").alias("op"))
+    jobs.finish(jobs.upsert_stream(changed, "customer_id", "order_id", history,
+                                   str(tmp_path / "state"), every=2), 120)
+
+    def copy(version=None):
+        return rows(jobs.serving_copy(spark, history, "customer_id", "order_id", version, 2),
+                    "customer_id", "product_id")
+
+    assert copy(1) == [(1, "B"), (2, "A")]
+    assert copy(2) == copy(3) == [(1, "B"), (2, "B")]
+    assert copy() == [(1, "B"), (4, "A")]
+
+
 def test_table_stream_reads_a_folder_or_a_file(spark, rows, tmp_path):
     table = tmp_path / "t.parquet"
     spark.range(4).coalesce(1).write.parquet(str(table))

@@ -7,6 +7,8 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradegrain.operators.keys import reduce_repeats
+
 OP = "op"
 
 
@@ -48,8 +50,15 @@ def as_of(history: DataFrame, key: str, version: str, at=None) -> DataFrame:
     `history` holds changes with `op` and an ascending `version`, unique per key.
     """
     known = history if at is None else history.filter(F.col(version) <= at)
+    return latest(known, key, version).filter(F.col(OP) != "DELETE").drop(OP)
+
+
+def latest(history: DataFrame, key: str, version: str) -> DataFrame:
+    """Each key's change of the greatest version, deletions among them."""
     values = [c for c in history.columns if c not in (key, version)]
-    return (known.groupBy(key)
-            .agg(F.max(F.struct(version, *values)).alias("_latest"))
-            .select(key, "_latest.*")
-            .filter(F.col(OP) != "DELETE").drop(OP))
+
+    def last(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy(key).agg(F.max(F.struct(version, *values)).alias("_latest"))
+                .select(key, "_latest.*"))
+
+    return reduce_repeats(history, [key], last)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradegrain.functions import AVERAGE, MONEY, line_revenue, per_unit_of, rolling_start
+from tradegrain.session import BROADCAST_ROWS
 
 
 def anchor_date(lines: DataFrame) -> DataFrame:
@@ -73,6 +74,33 @@ def customer_product_grain(lines: DataFrame, products: DataFrame, as_of: Column,
                     .alias("r12_profit")))
 
 
+def grain_for_one_use(lines: DataFrame, products: DataFrame, as_of: Column,
+                      months: int = 12) -> DataFrame:
+    """The grain for a view that is taken of it alone, when nothing else reads it.
+
+    Where products are few enough to be sent to the lines, each line is a row of its own: the view
+    then sums them by customer in one shuffle, as pairs of customer and product hardly repeat.
+    """
+    if products.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return customer_product_grain(lines, products, as_of, months)
+    revenue = line_revenue()
+    costed = F.when(revenue.isNotNull(), F.col("quantity")) * F.col("cost")
+    recent = F.col("order_date") > rolling_start(as_of, months)
+    counted, priced = (F.when(c.isNotNull(), 1).otherwise(0).cast("long")
+                       for c in (F.col("order_id"), revenue))
+    return (lines.join(F.broadcast(products.select("product_id", "category", "cost")),
+                       "product_id")
+            .select("customer_id", "product_id", "category", counted.alias("orders"),
+                    priced.alias("priced"), F.col("quantity").cast("long").alias("units"),
+                    revenue.alias("revenue"), (revenue - costed).alias("profit"),
+                    F.col("order_date").alias("first_order_date"),
+                    F.col("order_date").alias("last_order_date"),
+                    F.when(recent, 1).otherwise(0).cast("long").alias("r12_lines"),
+                    F.when(recent, counted).otherwise(0).alias("r12_orders"),
+                    F.when(recent, revenue).alias("r12_revenue"),
+                    F.when(recent, revenue - costed).alias("r12_profit")))
+
+
 def lifetime(grain: DataFrame) -> DataFrame:
     return grain.groupBy("customer_id").agg(*_lifetime())
 
@@ -88,7 +116,7 @@ def rolling_only(lines: DataFrame, products: DataFrame, as_of: date | str,
     since the given date reaches the scan as a filter."""
     day = F.lit(as_of).cast("date")
     window = until(lines, as_of).filter(F.col("order_date") > rolling_start(day, months))
-    return rolling(customer_product_grain(window, products, day, months))
+    return rolling(grain_for_one_use(window, products, day, months))
 
 
 def category_rank(grain: DataFrame) -> DataFrame:

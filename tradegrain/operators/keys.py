@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradegrain.session import BROADCAST_ROWS, settle
+
 
 def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
     """One row per key: the least by the `prefer` columns, then by all others in order.
@@ -18,9 +20,35 @@ def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) ->
     """
     rest = [c for c in df.columns if c not in keys and c not in prefer]
     payload = [*prefer, *rest] or list(keys)
-    apart = df.withColumn("_apart", F.when(missing(keys), F.monotonically_increasing_id()))
-    return (apart.groupBy(*keys, "_apart").agg(F.min(F.struct(*payload)).alias("_kept"))
-            .select(*[F.col(c) if c in keys else F.col(f"_kept.{c}") for c in df.columns]))
+
+    def least(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("_kept"))
+                .select(*[F.col(c) if c in keys else F.col(f"_kept.{c}") for c in df.columns]))
+
+    return reduce_repeats(df, keys, least)
+
+
+def reduce_repeats(df: DataFrame, keys: Sequence[str],
+                   one_each: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`df` with `one_each`, which makes one row per key, applied to the rows of repeated keys.
+
+    Least and greatest rows are found by sorting, before a shuffle and after. Most keys stand
+    alone as a rule, so the keys are counted by themselves first, and rows of a key that stands
+    alone stay in place, neither shuffled nor sorted. Up to BROADCAST_ROWS repeated keys are sent
+    to the rows; if more repeat, `one_each` gets all rows that have a key. Rows without a whole
+    key pass.
+    """
+    without = missing(keys)
+    again = settle(repeated_keys(df.filter(~without), keys).select(*keys), "repeated")
+    found = again.count()
+    if not found:
+        return df
+    if found > BROADCAST_ROWS:
+        alone, copies = df.filter(without), df.filter(~without)
+    else:
+        again = F.broadcast(again)
+        alone, copies = (df.join(again, list(keys), how) for how in ("left_anti", "left_semi"))
+    return alone.unionByName(one_each(copies)).select(*df.columns)
 
 
 def missing(keys: Sequence[str]) -> Column:

@@ -22,6 +22,9 @@ def build_session(app: str = "tradegrain", master: str | None = None, **conf: st
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
+    if master is None or not master.startswith("local"):
+        # Shuffles start with many partitions, and adaptive execution merges the small ones.
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "4000"
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:

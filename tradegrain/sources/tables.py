@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,13 +15,29 @@ def read_table(spark: SparkSession, source: str) -> DataFrame:
 def replace_table(df: DataFrame, name: str, comment: str | None = None,
                   key: str | None = None) -> None:
     """Create or replace a catalogued table from a query, in the order of `key` if one is given,
-    so that a lookup reads few row groups."""
+    so that a lookup reads few row groups.
+
+    The new rows are written beside the table, and the two change names once they are complete:
+    a rebuild that fails leaves the table as it was, and `df` may read from it.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    new, old = f"{name}_new_{mark}", f"{name}_old_{mark}"
     if key is not None:
         df = df.repartitionByRange(key).sortWithinPartitions(key)
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    if comment is not None:
-        quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
-        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{quoted}'")
+    try:
+        df.write.format("parquet").saveAsTable(new)
+        if comment is not None:
+            quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"COMMENT ON TABLE {new} IS '{quoted}'")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def replace_files(df: DataFrame, path: str) -> DataFrame:

@@ -14,10 +14,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tradegrain.functions import line_revenue, month_of
-from tradegrain.operators.changes import as_of
+from tradegrain.operators.changes import as_of, latest
 from tradegrain.operators.keys import keep_one, missing
 from tradegrain.plans.medallion import Entity, silver
-from tradegrain.plans.serving import append_changes, read_history
+from tradegrain.plans.serving import EVERY, append_changes, fold, read_history, recent_history
 from tradegrain.sources.json_files import CORRUPT, with_lineage
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -132,30 +132,31 @@ def latest_updates(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def upsert_stream(changes: DataFrame, key: str, order: str, history_path: str,
-                  checkpoint: str) -> StreamingQuery:
+                  checkpoint: str, every: int = EVERY) -> StreamingQuery:
     """Keep a serving copy current from a stream of rows with `op`.
 
     A batch is reduced to the last change per key (greatest `order`) and added to the change
     history under its batch number, so a batch costs what it changes and not the whole copy;
-    a batch that is run again replaces itself.
+    a batch that is run again replaces itself. Every `every` batches the copy is folded anew.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        values = [c for c in batch.columns if c not in (key, order)]
-        last = (batch.groupBy(key).agg(F.max(F.struct(order, *values)).alias("_last"))
-                .select(key, "_last.*"))
-        append_changes(history_path, last, batch_id)
+        checked = batch.persist()
+        try:
+            append_changes(history_path, latest(checked, key, order), batch_id)
+        finally:
+            checked.unpersist()
+        fold(batch.sparkSession, history_path, key, batch_id, order, every)
 
     return _start(changes.writeStream.foreachBatch(write), checkpoint)
 
 
 def serving_copy(spark: SparkSession, history_path: str, key: str, order: str,
-                 version: int | None = None) -> DataFrame:
+                 version: int | None = None, every: int = EVERY) -> DataFrame:
     """The copy after a batch, by default the last: per key the change of greatest `order`, so
     that a change that arrives late does not undo a newer one."""
-    history = read_history(spark, history_path)
-    if version is not None:
-        history = history.filter(F.col("version") <= version)
-    return as_of(history.drop("version"), key, order)
+    if version is None:
+        version = read_history(spark, history_path).agg(F.max("version")).first()[0]
+    return as_of(recent_history(spark, history_path, version, every).drop("version"), key, order)
 
 
 def finish(query: StreamingQuery, seconds: int | None = None) -> None:

@@ -157,6 +157,11 @@ def _grain(star: Star) -> DataFrame:
                                         grain.as_of_column(star.lines, None))
 
 
+def _lines_grain(star: Star) -> DataFrame:
+    return grain.grain_for_one_use(star.lines, star.products,
+                                   grain.as_of_column(star.lines, None))
+
+
 def _activity(star: Star, *columns: str) -> DataFrame:
     anchor = F.lit(grain.anchor_date(star.lines).first()[0]).cast("date")
     rollup = grain.customer_rollup(
@@ -184,7 +189,7 @@ def customer_product_grain(star):
 
 @query
 def lifetime(star):
-    return grain.lifetime(_grain(star))
+    return grain.lifetime(_lines_grain(star))
 
 
 @query
@@ -194,7 +199,7 @@ def rolling_12m(star):
 
 @query
 def top_categories(star):
-    return (grain.top_categories(_grain(star))
+    return (grain.top_categories(_lines_grain(star))
             .withColumn("top_categories", cards.top_categories_label()))
 
 
@@ -252,6 +257,14 @@ def scorecard(star):
     return cards.scorecard(star.customers, star.products, star.lines).drop("computed_at")
 
 
+@query
+def scorecard_from_silver(star):
+    """The card over the cleaned tables, as the medallion pipeline builds it."""
+    customers, products, lines = (settle(_silver(star, name).table, "silver")
+                                  for name in ("customers", "products", "orders"))
+    return cards.scorecard(customers, products, lines).drop("computed_at")
+
+
 SCORECARD_AS_OF = "1999-06-30"
 EARLY = "1995-03-31"      # most customers have no line until then
 
@@ -522,7 +535,7 @@ def as_of_read(spark, folder):
 
 @query
 def sync_and_restore(star):
-    """Two syncs of a serving history, then the table as of the first."""
+    """Two syncs of a serving history, then the table as of each."""
     old, new = _two_snapshots(star)
     spark = old.sparkSession
     history = scratch_path(spark, "history")
