@@ -54,11 +54,13 @@ def as_of(history: DataFrame, key: str, version: str, at=None) -> DataFrame:
 
 
 def latest(history: DataFrame, key: str, version: str) -> DataFrame:
-    """Each key's change of the greatest version, deletions among them."""
-    values = [c for c in history.columns if c not in (key, version)]
+    """Each key's change of the greatest version, deletions among them; keys that changed once
+    stay in place."""
+    return reduce_repeats(history, [key], lambda rows: last_changes(rows, key, version))
 
-    def last(rows: DataFrame) -> DataFrame:
-        return (rows.groupBy(key).agg(F.max(F.struct(version, *values)).alias("_latest"))
-                .select(key, "_latest.*"))
 
-    return reduce_repeats(history, [key], last)
+def last_changes(rows: DataFrame, key: str, version: str) -> DataFrame:
+    """`latest` by one aggregate, for rows in which most keys repeat or that are few."""
+    values = [c for c in rows.columns if c not in (key, version)]
+    return (rows.groupBy(key).agg(F.max(F.struct(version, *values)).alias("_latest"))
+            .select(key, "_latest.*"))

@@ -106,7 +106,8 @@ def silver(raw: DataFrame, entity: Entity) -> Silver:
     beside = raw.select("*", *[F.col(c).alias(f"_raw_{c}") for c in held])
     wide = normalise(beside, entity, [*extra, *(f"_raw_{c}" for c in held)])
     rules = [*entity.rules, *parsing]
-    parts = split(apply_rules(wide, rules), rules)
+    # Written once: both parts, and the count of repeated keys, read it.
+    parts = split(settle(apply_rules(wide, rules), "checked"), rules)
     return Silver(keep_one(parts.valid.select(*known), [entity.key]),
                   parts.quarantine.drop(*(f"_raw_{c}" for c in held)))
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tradegrain.functions import line_revenue, month_of
-from tradegrain.operators.changes import as_of, latest
+from tradegrain.operators.changes import as_of, last_changes
 from tradegrain.operators.keys import keep_one, missing
 from tradegrain.plans.medallion import Entity, silver
 from tradegrain.plans.serving import EVERY, append_changes, fold, read_history, recent_history
@@ -78,13 +78,9 @@ def silver_stream(stream: DataFrame, entity: Entity, valid_path: str, quarantine
     within a batch are reduced to one; `current_rows` does the same across batches.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = batch.persist()
-        try:
-            parts = silver(checked, entity)
-            _write_batch(parts.table, valid_path, batch_id)
-            _write_batch(parts.quarantine, quarantine_path, batch_id)
-        finally:
-            checked.unpersist()
+        parts = silver(batch, entity)
+        _write_batch(parts.table, valid_path, batch_id)
+        _write_batch(parts.quarantine, quarantine_path, batch_id)
 
     return _start(stream.writeStream.foreachBatch(write), checkpoint)
 
@@ -140,11 +136,7 @@ def upsert_stream(changes: DataFrame, key: str, order: str, history_path: str,
     a batch that is run again replaces itself. Every `every` batches the copy is folded anew.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = batch.persist()
-        try:
-            append_changes(history_path, latest(checked, key, order), batch_id)
-        finally:
-            checked.unpersist()
+        append_changes(history_path, last_changes(batch, key, order), batch_id)
         fold(batch.sparkSession, history_path, key, batch_id, order, every)
 
     return _start(changes.writeStream.foreachBatch(write), checkpoint)
