@@ -33,7 +33,18 @@ FORMS = (
     ("hex", r"[0-9a-f]{16,}", 0, 16),       # a shorter run of these characters fails anyway
 )
 RANDOM = "random"
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# Candidates, of 20 characters or more with their padding: whole runs without an inner '=', and
+# what lies between the signs in which encodings differ, so that a name or a path before a value
+# neither keeps it from fitting an encoding nor hides it. No two patterns give the same place.
+_PADDING = r"(?:=++(?![A-Za-z0-9+/_-]))?"
+TOKENS = tuple(pattern + _PADDING for pattern in (
+    r"[A-Za-z0-9+/_-]{18,}+",
+    r"(?:(?<=[+/_-])|(?<![A-Za-z0-9])(?=[A-Za-z0-9]++[+/_-]))[A-Za-z0-9]{18,}+",
+    r"(?:(?<=[_-])|(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/]++[_-]))"
+    r"(?=[A-Za-z0-9]*+[+/])[A-Za-z0-9+/]{18,}+",
+    r"(?:(?<=[+/])|(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9_-]++[+/]))"
+    r"(?=[A-Za-z0-9]*+[_-])[A-Za-z0-9_-]{18,}+",
+))
 LETTERS_AND_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 # Encodings by the first pattern that fits, and their alphabets.
 ENCODINGS = (
@@ -76,7 +87,7 @@ def candidates(docs: DataFrame, keys: list[str]) -> DataFrame:
     """A row for each match of each text (keys, kind, start, end, match), and one for each text
     without any, its kind null."""
     text = F.coalesce("text", F.lit("")).alias("text")
-    forms = [*FORMS, (RANDOM, TOKEN, 0, 1)]
+    forms = [*FORMS, *((f"{RANDOM}{i}", t, 0, 20) for i, t in enumerate(TOKENS))]
     found = (docs.select(*keys, text)
              .select(*keys, *(_matches(*f).alias(f"form{i}") for i, f in enumerate(forms)))
              .select(*keys, F.explode_outer(F.concat(*(f"form{i}" for i in range(len(forms)))))
@@ -85,7 +96,8 @@ def candidates(docs: DataFrame, keys: list[str]) -> DataFrame:
     size = F.length("match")
     end = F.sum(F.col("gap") + size).over(before)
     return (found.withColumn("end", end.cast("long")).withColumn("start", F.col("end") - size)
-            .withColumn("kind", F.when(F.col("holds"), F.col("kind")))
+            .withColumn("kind", F.when(F.col("holds"), F.when(
+                F.col("kind").startswith(RANDOM), RANDOM).otherwise(F.col("kind"))))
             .select(*keys, "kind", "start", "end", F.when(F.col("holds"), F.col("match"))
                     .alias("match")))
 
@@ -175,7 +187,7 @@ def _order(kind: Column) -> Column:
 
 def spans(docs: DataFrame, keys: list[str]) -> DataFrame:
     """One row per text: keys, `base` and `all`, arrays of (start, rank, end, kind) in order. A
-    random token that touches a base span is not listed."""
+    random token that touches a base span, or lies inside another one, is not listed."""
     found = settle(candidates(docs, keys), "candidates")
     # Rows of texts without a match stay, with a null span.
     listed = (found.where(F.col("kind").isNull() | (F.col("kind") != RANDOM))
@@ -183,14 +195,18 @@ def spans(docs: DataFrame, keys: list[str]) -> DataFrame:
                   *keys, *(F.lit(None).cast(found.schema[c].dataType).alias(c)
                            for c in ("kind", "start", "end", "match"))).distinct())
               .unionByName(random_tokens(found)))
-    span = F.when(F.col("kind").isNotNull(),
+    # Base spans that begin at or before a row's start, and at or after it.
+    text, base, end = Window.partitionBy(*keys), F.col("kind") != RANDOM, F.col("end")
+    before = F.max(F.when(base, end)).over(text.orderBy("start"))
+    after = F.min(F.when(base, F.col("start"))).over(text.orderBy(F.desc("start")))
+    touched = F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < end, F.lit(False))
+    longer = text.orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.max(F.when(F.col("alone"), end)).over(longer) >= end
+    span = F.when(base | F.col("alone") & ~F.coalesce(F.col("inside"), F.lit(False)),
                   F.struct("start", _order(F.col("kind")).alias("rank"), "end", "kind"))
-    every = listed.groupBy(*keys).agg(F.array_sort(F.collect_list(span)).alias("every"))
-    base = F.filter("every", lambda s: s["kind"] != RANDOM)
-    return (every.withColumn("base", base)
-            .withColumn("all", F.filter("every", lambda s: (s["kind"] != RANDOM) | ~F.exists(
-                "base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
-            .drop("every"))
+    return (listed.withColumn("alone", ~base & ~touched).withColumn("inside", inside)
+            .groupBy(*keys).agg(F.array_sort(F.collect_list(span)).alias("all"))
+            .withColumn("base", F.filter("all", lambda s: s["kind"] != RANDOM)))
 
 
 def _listed(array: str) -> Column:
