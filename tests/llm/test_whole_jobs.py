@@ -28,3 +28,13 @@ def test_secrets_behind_names_and_paths(spark):
     assert found[3] == "K=[secret]" and found[6] == "x_y=[secret]" and found[7] == texts[7]
     spans = {r.doc_id: r for r in secrets.scan(frame(spark, texts)).collect()}
     assert all(spans[i].n_random == 1 for i in range(7)) and spans[7].n_random == 0
+
+
+def test_copies_of_a_token_do_not_move_the_limit(spark):
+    plain = "".join(f"{w}" for w in ["getCustomer", "Address", "FromOrder", "List"])
+    values = [drawn(LETTERS_AND_DIGITS, 24) for _ in range(10)]
+    few = frame(spark, [*values, plain])
+    many = frame(spark, [*values, *[f"{plain} " * 100] * 400])
+    once, often = ({r.doc_id for r in secrets.scan(f).where("n_random > 0").collect()}
+                   for f in (few, many))
+    assert once and {i for i in often if i < 10} == {i for i in once if i < 10}

@@ -5,8 +5,8 @@ chi-squared test of uniform symbols, a runs test about the alphabet's middle, an
 correlation. A token looks random if the battery does not reject uniformity, and if prose of its
 length would hardly be that uniform. For the latter the chance of so small a chi-squared under the
 letter frequencies of the corpus's own words is a p-value, and a false-discovery rate of FALSE is
-held within every encoding and class of lengths (Benjamini and Hochberg, on a histogram of the
-p-values, which rounds them up).
+held within every encoding and class of lengths (Benjamini and Hochberg over distinct tokens, on a
+histogram of the p-values, which rounds them up).
 
 Matches are found by splitting a text, so that their places come from the lengths of what lies
 before; the running sums are windows over the matches of one text and kind.
@@ -159,23 +159,29 @@ def random_tokens(found: DataFrame, false: float = FALSE) -> DataFrame:
     """The rows of `found` that look random."""
     tokens = settle(measured(found.where(F.col("kind") == RANDOM).where("match is not null"))
                     .where("encoding is not null"), "tokens")
-    word = tokens.where("encoding in ('letters', 'LETTERS')")
+    # All figures are of distinct tokens: copies are no evidence of their own. A verdict follows
+    # from a token's own scores and its group's limit, so every copy gets it in place.
+    distinct = tokens.drop(*(c for c in found.columns if c != "match")).distinct()
+    word = distinct.where("encoding in ('letters', 'LETTERS')")
     repeats = word.agg(F.sum(F.col("squares") - F.col("n"))
                        / F.sum(F.col("n") * (F.col("n") - 1))).first()[0] or PROSE_REPEATS
     n, k = F.col("n"), F.col("k")
     excess = (n - 1) * F.greatest(k * F.lit(repeats) - 1, F.lit(0.0))
     chance = _lower_tail((F.col("chi") - (k - 1) - excess) / F.sqrt(2 * (k - 1) + 4 * excess))
-    scored = (tokens.withColumn("bin", F.floor(-10 * F.log10(F.greatest(chance, F.lit(1e-300)))))
-              .withColumn("stratum", F.floor(2 * F.log2("n"))))
+
+    def scored(rows):
+        return (rows.withColumn("bin", F.floor(-10 * F.log10(F.greatest(chance, F.lit(1e-300)))))
+                .withColumn("stratum", F.floor(2 * F.log2("n"))))
+
     # A bin's largest p-value against the share of tokens up to it; encodings x lengths x bins.
-    bins = scored.groupBy("encoding", "stratum", "bin").agg(
+    bins = scored(distinct).groupBy("encoding", "stratum", "bin").agg(
         F.count(F.lit(1)).alias("all"), F.count_if(F.col("battery") < BATTERY).alias("passed"))
     group = Window.partitionBy("encoding", "stratum")
     reached = F.sum("all").over(group.orderBy(F.desc("bin")))
     held = F.pow(F.lit(10.0), -F.col("bin") / 10) * F.sum("all").over(group) <= false * reached
     limits = (bins.withColumn("held", held).where("held").groupBy("encoding", "stratum")
               .agg(F.min("bin").alias("limit")))
-    return (scored.join(F.broadcast(limits), ["encoding", "stratum"])
+    return (scored(tokens).join(F.broadcast(limits), ["encoding", "stratum"])
             .where((F.col("bin") >= F.col("limit")) & (F.col("battery") < BATTERY))
             .select(*found.columns))
 
