@@ -38,3 +38,13 @@ def test_copies_of_a_token_do_not_move_the_limit(spark):
     once, often = ({r.doc_id for r in secrets.scan(f).where("n_random > 0").collect()}
                    for f in (few, many))
     assert once and {i for i in often if i < 10} == {i for i in once if i < 10}
+
+
+def test_digits_and_upper_case_hex(spark):
+    digits, hexes = ([drawn(a, 40) for _ in range(20)] for a in ("0123456789", "0123456789ABCDEF"))
+    names = ["ABCDEFABCDEFABCDEFABCDEF", "CAFE" * 8, "FACADE" * 6, "THEQUICKBROWNFOXANDTHELAZYDOG"]
+    for more in ([], names):      # with certainly non-random tokens of the encoding, and without
+        rows = {r.doc_id: r for r in secrets.scan(frame(spark, [*digits, *hexes, *more])).collect()}
+        assert all(rows[i].n_hex == 1 for i in range(20))
+        assert sum(rows[i].n_random for i in range(20, 40)) >= 17
+        assert not any(rows[i].n_random for i in range(40, len(rows)))

@@ -8,6 +8,11 @@ letter frequencies of the corpus's own words is a p-value, and a false-discovery
 held within every encoding and class of lengths (Benjamini and Hochberg over distinct tokens, on a
 histogram of the p-values, which rounds them up).
 
+Upper-case hexadecimal digits repeat in prose about as often as by chance. Their p-value is the
+chance that a word or name of that length has no other symbol, by the symbols of the corpus's wider
+tokens; and, where over FALSE of their tokens are certainly not random, at least the chance of so
+small a likelihood under the neighbouring symbols of these.
+
 Matches are found by splitting a text, so that their places come from the lengths of what lies
 before; the running sums are windows over the matches of one text and kind.
 
@@ -59,7 +64,13 @@ ENCODINGS = (
     ("base64", r"^[0-9A-Za-z+/]+=*$", LETTERS_AND_DIGITS + "+/"),
     ("base64url", r"^[0-9A-Za-z_-]+=*$", LETTERS_AND_DIGITS + "-_"),
 )
+# Symbols of HEX repeat in prose about as often as by chance, so it has a null of its own. (So do
+# those of decimal and hex, all of whose tokens are spans of the form "hex" anyway.) The wider
+# encodings, and the number of their symbols without case.
+NARROW = "HEX"
+WIDER, WIDER_SYMBOLS = ("letters", "LETTERS", "base32", "base36", "base62"), 36
 BATTERY = 11.345       # 99th percentile of chi-squared with three degrees of freedom
+CLEAR = 30.665         # and one in a million: certainly not random
 FALSE = 0.01           # false-discovery rate
 PROSE_REPEATS = 0.065  # chance that two letters of prose agree, if the corpus has no words
 MASK = "[secret]"
@@ -155,6 +166,38 @@ def measured(tokens: DataFrame) -> DataFrame:
             .drop("value", "symbols", "alphabet", "mean", "spread", "changes", "lagged"))
 
 
+def _neighbours(symbols: Column, pair) -> Column:
+    return F.zip_with(F.slice(symbols, F.lit(1), F.size(symbols) - 1),
+                      F.slice(symbols, F.lit(2), F.size(symbols) - 1), pair)
+
+
+def _unlike(distinct: DataFrame) -> Column:
+    """If over FALSE of the narrow tokens are certainly not random: the chance that one of these
+    is as unlike them as a token is. Else 0."""
+    narrow, clear = distinct.where(F.col("encoding") == NARROW), F.col("battery") >= CLEAR
+    alphabet = next(symbols for name, _, symbols in ENCODINGS if name == NARROW)
+    if (narrow.agg(F.avg(clear.cast("double"))).first()[0] or 0.0) <= FALSE:
+        return F.lit(0.0)
+    places = F.transform(F.split("match", ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
+    k = len(alphabet)
+    pairs = _neighbours(places, lambda a, b: a * k + b)
+    counts = [[0] * k for _ in range(k)]                # rows of k x k pairs at most
+    for pair, n in (narrow.where(clear).select(F.explode(pairs).alias("pair"))
+                    .groupBy("pair").count().collect()):
+        counts[pair // k][pair % k] = n
+    every = sum(map(sum, counts))
+    one = [(sum(row[b] for row in counts) + 1) / (every + k) for b in range(k)]
+    two = [[(c + 5 * q) / (sum(row) + 5) for c, q in zip(row, one)] for row in counts]
+    gain = [math.log(k * q) for row in two for q in row]
+    weight = [p * q for p, row in zip(one, two) for q in row]
+    mean = sum(w * g for w, g in zip(weight, gain))
+    spread = sum(w * (g - mean) ** 2 for w, g in zip(weight, gain))
+    table = F.array(*map(F.lit, gain))
+    total = F.aggregate(pairs, F.lit(0.0), lambda acc, v: acc + F.element_at(table, v + 1))
+    n = F.col("n") - 1
+    return _lower_tail((total - n * mean) / F.sqrt(n * max(spread, 1e-9)))
+
+
 def random_tokens(found: DataFrame, false: float = FALSE) -> DataFrame:
     """The rows of `found` that look random."""
     tokens = settle(measured(found.where(F.col("kind") == RANDOM).where("match is not null"))
@@ -165,9 +208,14 @@ def random_tokens(found: DataFrame, false: float = FALSE) -> DataFrame:
     word = distinct.where("encoding in ('letters', 'LETTERS')")
     repeats = word.agg(F.sum(F.col("squares") - F.col("n"))
                        / F.sum(F.col("n") * (F.col("n") - 1))).first()[0] or PROSE_REPEATS
+    wider = F.sum(F.length(F.regexp_replace("match", "[^0-9A-Fa-f]", ""))) / F.sum("n")
+    seen = distinct.where(F.col("encoding").isin(*WIDER)).agg(wider).first()[0] or 0.0
     n, k = F.col("n"), F.col("k")
+    share = F.greatest(k / WIDER_SYMBOLS, F.lit(seen))
     excess = (n - 1) * F.greatest(k * F.lit(repeats) - 1, F.lit(0.0))
-    chance = _lower_tail((F.col("chi") - (k - 1) - excess) / F.sqrt(2 * (k - 1) + 4 * excess))
+    chance = F.when(F.col("encoding") == NARROW,
+                    F.greatest(F.pow(share, n), _unlike(distinct))).otherwise(
+        _lower_tail((F.col("chi") - (k - 1) - excess) / F.sqrt(2 * (k - 1) + 4 * excess)))
 
     def scored(rows):
         return (rows.withColumn("bin", F.floor(-10 * F.log10(F.greatest(chance, F.lit(1e-300)))))
