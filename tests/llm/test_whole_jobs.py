@@ -1,8 +1,9 @@
 """Cases that the operators once left out."""
 
 import numpy as np
+import pytest
 
-from tradegrain.llm import secrets
+from tradegrain.llm import secrets, toxicity
 
 RANDOM = np.random.default_rng(11)
 LETTERS_AND_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -48,3 +49,22 @@ def test_digits_and_upper_case_hex(spark):
         assert all(rows[i].n_hex == 1 for i in range(20))
         assert sum(rows[i].n_random for i in range(20, 40)) >= 17
         assert not any(rows[i].n_random for i in range(40, len(rows)))
+
+
+PLAIN = ("he is a good man and you are what they said of the old river , i saw that clown at the tree "
+         "in an hour all day absolutely complete ever").split()
+
+
+@pytest.fixture(scope="module")
+def restorer(spark):
+    lines = [" ".join(RANDOM.choice(PLAIN, 40).tolist()) + [" moron", " idiot", ""][k % 3]
+             for k in range(300)]
+    counts = toxicity.letter_counts(frame(spark, lines))
+    return toxicity.Restorer(toxicity.letter_model(counts).tolist())
+
+
+@pytest.mark.parametrize("text, word", [
+    ("he is a m o r o n and", "moron"), ("what a c l o w n", "clown"), ("y o u i d i o t", "idiot"),
+    ("m o r o n, he", "moron"), ("you m.o.r.o.n!", "moron"), ("(m o r o n)", "moron")])
+def test_spelled_words_beside_other_letters(restorer, text, word):
+    assert word in toxicity._WORD.findall(restorer.text(text))

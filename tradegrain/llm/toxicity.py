@@ -3,7 +3,8 @@
 A disguised word is one with digits or signs for letters, letters said several times, or letters
 spelled out one by one. Each is read as a lattice: every sign may stand for some letters or for
 nothing, a repeated letter for one. The Viterbi path through it under a character trigram model is
-the restored word. The character model is counted over all texts.
+the restored word. Letters spelled out may be several words: paths may end a word there, and the
+reading as one word is kept beside them. The character model is counted over all texts.
 
 The score is learned from labelled rows only. In a sample of about `per_class` texts of each label,
 chosen by hash, restored words and their beginnings are counted per label; those that stand in
@@ -45,7 +46,7 @@ _REMEMBERED = 100_000      # words whose entries a task remembers
 
 _SYMBOLS = 28              # word edge, a to z, any other letter
 _WORD = re.compile(r"[^\W\d_]+")
-_SPELLED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*][^\W_]){2,}(?!\S)")
+_SPELLED = re.compile(r"""(?<![^\s("'\[])[^\W_](?:[ .\-_*][^\W_]){2,}(?=[.,;:!?"')\]]*(?!\S))""")
 _TOKEN = re.compile(r"\S+")
 _INNER_SIGN = re.compile(r"[^\W\d_][0-9@$!|+(.*_\-]+[^\W\d_]|[0-9@$!|+(][^\W\d_]{2}"
                          r"|[^\W\d_]{2}[0-9@$]$")
@@ -96,9 +97,9 @@ def letter_model(counts: np.ndarray) -> np.ndarray:
     return np.log((counts + 5 * two) / (counts.sum(2, keepdims=True) + 5))
 
 
-def viterbi(token: str, model: list) -> str:
-    """The likeliest word that `token` (lower case) may stand for."""
-    paths = {(0, 0): (0.0, "")}
+def viterbi(token: str, model: list, several: bool = False) -> str:
+    """The likeliest word that `token` (lower case) may stand for, or `several`, with spaces."""
+    paths = {(0, 0): (0.0, None)}       # a path's letters as a chain, the last one first
     before = ""
     for c in token:
         ways = [(s, FOR_LETTER) for s in SIGNS.get(c, "")]
@@ -108,6 +109,11 @@ def viterbi(token: str, model: list) -> str:
             ways = [("", REPEATED), *ways]
         else:
             ways.append(("", DROPPED))
+        if several:
+            for (a, b), (cost, word) in list(paths.items()):
+                total = cost + model[a][b][0]
+                if b and ((b, 0) not in paths or total > paths[b, 0][0]):
+                    paths[b, 0] = (total, (word, " "))
         following = {}
         for (a, b), (cost, word) in paths.items():
             for letter, price in ways:
@@ -117,9 +123,16 @@ def viterbi(token: str, model: list) -> str:
                 else:
                     state, total = (a, b), cost + price
                 if state not in following or total > following[state][0]:
-                    following[state] = (total, word + letter)
+                    following[state] = (total, (word, letter) if letter else word)
         paths, before = following, c
-    return max((cost + model[a][b][0], word) for (a, b), (cost, word) in paths.items())[1]
+    # A path that ended its last word is over; the others end it now.
+    word = max(((cost + (model[a][b][0] if b or not a else 0.0), word)
+                for (a, b), (cost, word) in paths.items()), key=lambda p: p[0])[1]
+    letters = []
+    while word:
+        word, letter = word
+        letters.append(letter)
+    return "".join(reversed(letters)).strip()
 
 
 def squeezed(word: str) -> str:
@@ -140,6 +153,11 @@ class Restorer:
             self.decoded[token] = viterbi(token, self.model)
         return self.decoded[token]
 
+    def _several(self, token: str) -> str:
+        """The words that `token` may stand for, and the one word, if that is another reading."""
+        words, word = viterbi(token, self.model, several=True), self._decode(token)
+        return words if words == word else f"{words} {word}"
+
     def token(self, token: str) -> str:
         # A run of one sign at an end is decoration, unless it may stand for a letter in it.
         bare = token.strip(_EDGE)
@@ -160,7 +178,7 @@ class Restorer:
 
     def text(self, text: str | None) -> str:
         text = (text or "").lower()
-        text = _SPELLED.sub(lambda m: " " + self._decode(m[0].replace(" ", "")) + " ", text)
+        text = _SPELLED.sub(lambda m: " " + self._several(m[0].replace(" ", "")) + " ", text)
         noisy = [m for m in _TOKEN.finditer(text)
                  if not (t := m[0]).isalpha() and _INNER_SIGN.search(t) or _THRICE.search(t)] \
             if _ANY_NOISE.search(text) else []
