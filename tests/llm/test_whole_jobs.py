@@ -57,7 +57,7 @@ PLAIN = ("he is a good man and you are what they said of the old river , i saw t
 
 @pytest.fixture(scope="module")
 def restorer(spark):
-    lines = [" ".join(RANDOM.choice(PLAIN, 40).tolist()) + [" moron", " idiot", ""][k % 3]
+    lines = [" ".join(RANDOM.choice(PLAIN, 40).tolist()) + [" moron .", " idiot .", " ."][k % 3]
              for k in range(300)]
     counts = toxicity.letter_counts(frame(spark, lines))
     return toxicity.Restorer(toxicity.letter_model(counts).tolist())
@@ -68,3 +68,17 @@ def restorer(spark):
     ("m o r o n, he", "moron"), ("you m.o.r.o.n!", "moron"), ("(m o r o n)", "moron")])
 def test_spelled_words_beside_other_letters(restorer, text, word):
     assert word in toxicity._WORD.findall(restorer.text(text))
+
+
+@pytest.mark.parametrize("text", [
+    "absolutely-complete-m0r0n-ever", "m" + "0" * 30 + "r0n", "he.is.absolutely_a_complete.m0r0n",
+    "2024-12-31-2024-12-31-m0r0n", "m" + "o" * 5000 + "r0n"])
+def test_long_disguised_words(restorer, text):
+    assert "moron" in toxicity._WORD.findall(restorer.text(f"you {text} there"))
+
+
+def test_long_runs_of_words_are_decoded(restorer):
+    decoded = toxicity._WORD.findall(restorer.text("heisanabsolutelyc0mpletem0r0nandagoodman"))
+    assert "moron" in decoded
+    assert len(restorer.text("x1y" * 20_000)) > 0
+    assert all(len(t) <= toxicity.LONGEST_WORD for t in restorer.decoded)

@@ -41,7 +41,7 @@ PER_CLASS = 4_000          # labelled texts of each label that are learned from,
 LEXICON = 2_000            # entries at most
 BEGINNINGS = (4, 5, 6)     # characters of a word's beginning that are entries of their own
 TOXIC = 0.3
-LONGEST_WORD = 24          # longer signs-and-letters words are keys and hashes, not words
+LONGEST_WORD = 24          # longer signs-and-letters words may be several, and are not remembered
 _REMEMBERED = 100_000      # words whose entries a task remembers
 
 _SYMBOLS = 28              # word edge, a to z, any other letter
@@ -51,6 +51,7 @@ _TOKEN = re.compile(r"\S+")
 _INNER_SIGN = re.compile(r"[^\W\d_][0-9@$!|+(.*_\-]+[^\W\d_]|[0-9@$!|+(][^\W\d_]{2}"
                          r"|[^\W\d_]{2}[0-9@$]$")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
+_LONG_RUN = re.compile(r"(.)\1{3,}")
 _TWICE = re.compile(r"([^\W\d_])\1+")
 _EDGE = "\"'.,;:?!%&#*()[]{}<>=/\\-_~`"
 
@@ -147,6 +148,8 @@ class Restorer:
     decoded: dict[str, str] = field(default_factory=dict)
 
     def _decode(self, token: str) -> str:
+        if len(token) > LONGEST_WORD:
+            return viterbi(token, self.model)
         if token not in self.decoded:
             if len(self.decoded) >= _REMEMBERED:
                 self.decoded.clear()
@@ -163,17 +166,23 @@ class Restorer:
         bare = token.strip(_EDGE)
         if len(bare) > 3 and bare[-3:] in ("$$$", "+++", "|||"):
             bare = bare.rstrip("$+|")
-        if not bare or len(bare) > LONGEST_WORD or bare.isalpha() and not _THRICE.search(bare):
+        if len(bare) > LONGEST_WORD:
+            bare = _LONG_RUN.sub(r"\1\1\1", bare)
+        if not bare or bare.isalpha() and not _THRICE.search(bare):
             return token
         if not (_INNER_SIGN.search(bare) or _THRICE.search(bare)):
             return token
         letters = sum(map(str.isalpha, bare))
-        if letters == 0 or 3 * sum(map(str.isdigit, bare)) > 2 * len(bare):
+        if letters == 0:
             return token
         # Hyphens and dots part whole words as a rule; only single letters are spelled out.
         parts = re.split(r"[.\-_]+", bare)
         if len(parts) > 1 and max(map(len, parts)) > 1:
             return " ".join(self.token(p) for p in parts if p)
+        if 3 * sum(map(str.isdigit, bare)) > 2 * len(bare):
+            return token
+        if len(bare) > LONGEST_WORD:
+            return self._several(bare)
         return self._decode(bare)
 
     def text(self, text: str | None) -> str:
