@@ -1,9 +1,11 @@
 """Cases that the operators once left out."""
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
-from tradegrain.llm import secrets, toxicity
+from tradegrain.llm import packing, secrets, toxicity
 
 RANDOM = np.random.default_rng(11)
 LETTERS_AND_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -82,3 +84,14 @@ def test_long_runs_of_words_are_decoded(restorer):
     assert "moron" in decoded
     assert len(restorer.text("x1y" * 20_000)) > 0
     assert all(len(t) <= toxicity.LONGEST_WORD for t in restorer.decoded)
+
+
+def test_encoder_with_combining_marks():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, whole = packing.Encoder(open(path).read()), Tokenizer.from_file(path)
+    signs = ["H\u0331asan", "J\u030c", "T\u0308", "W\u030a", "Y\u030a", "Abc", "E\u0301", "\u0301", "K",
+             "\u212b", " ", " ", ", ", ". ", "\n", "\u0323", "H", "e", "\xa0", "<|", "Z\xfc"]
+    for _ in range(400):
+        text = "".join(RANDOM.choice(signs, RANDOM.integers(1, 12)).tolist())
+        assert encoder.ids([text.encode()])[0].tolist() == whole.encode(
+            text, add_special_tokens=False).ids, repr(text)

@@ -36,7 +36,7 @@ LONGEST = 4096
 END = 2
 _KNOWN_WORDS = 600_000   # tokenized words that a Python worker remembers
 # A word and the one comma or full stop after it, before white space, are tokenized apart anyway.
-_LAST_SIGN = re.compile(rb"(?<=[a-z])(?=[.,](?:[ \n]|$))")
+_LAST_SIGN = re.compile(rb"(?<=[A-Za-z])(?=[.,](?:[ \n]|$))")
 _SPECIAL = b"<|"         # may begin a special token, whose capitals count
 
 
@@ -53,8 +53,11 @@ class Encoder:
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         """Of UTF-8 texts. bytes.split() cuts at ASCII white space only."""
-        # Capitals go first: the tokenizer lowers them all, and words are then met more often.
-        parts = [[t] if _SPECIAL in t else _LAST_SIGN.sub(b" ", t.lower()).split() for t in texts]
+        # Capitals of ASCII words go first: the tokenizer lowers them all, and words are then met
+        # more often. Others stay: a capital and its mark may compose only before they are lowered.
+        parts = [[t] if _SPECIAL in t else _LAST_SIGN.sub(b" ", t.lower()).split() if t.isascii()
+                 else [w.lower() if w.isascii() else w for w in _LAST_SIGN.sub(b" ", t).split()]
+                 for t in texts]
         met = set(chain.from_iterable(parts))
         if len(self.known) > _KNOWN_WORDS:
             self.known.clear()
