@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tradegrain.llm import packing, secrets, toxicity
+from tradegrain.llm import licenses, packing, secrets, toxicity
 
 RANDOM = np.random.default_rng(11)
 LETTERS_AND_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -95,3 +95,21 @@ def test_encoder_with_combining_marks():
         text = "".join(RANDOM.choice(signs, RANDOM.integers(1, 12)).tolist())
         assert encoder.ids([text.encode()])[0].tolist() == whole.encode(
             text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("text, label", [
+    ("Licensed under the Apache License, as Version 2.0", "apache-2.0"),
+    ("licensed under the GNU General Public License, that is version 3 or later", "gpl-3.0"),
+    ("see under the tree, under the rose. Licensed under the Apache License, version 2.0", "apache-2.0"),
+])
+def test_license_with_words_put_in(spark, text, label):
+    row = licenses.scan(frame(spark, [text])).first()
+    assert label in row["labels"].split(",") and [s.label for s in row["spans"]] == [label]
+
+
+@pytest.mark.parametrize("text, label", [
+    ("licensed under the gnu general public license version 3", "gpl-2.0"),
+    ("licensed under cc by sa 4.0", "cc-by-4.0"), ("licensed under cc by nc sa 4.0", "cc-by-nc-4.0"),
+    ("licensed under the apache license version 1 0", "apache-2.0")])
+def test_license_of_a_sibling(spark, text, label):
+    assert label not in licenses.scan(frame(spark, [text])).first()["labels"].split(",")

@@ -1,10 +1,10 @@
 """License notices by diagonal voting.
 
 Every rolling word pair of every text is joined, by its hash, to the places of word pairs in a
-fixed list of templates. A hit votes for its diagonal, the difference of the two places; votes are
-summed per diagonal, neighbouring diagonals are merged (words put in or left out move a notice to
-the next diagonal), and a merged span counts if enough of its template stands within a stretch of
-about the template's length. Short phrases count only whole. A hit is verified by its words, so
+fixed list of templates. A hit votes for its diagonal, the difference of the two places; each
+diagonal is merged with the next ones (words put in or left out move a notice to another), and a
+merged span counts if enough of its template stands within a stretch of about the template's
+length: nearly all word pairs, or all words and all but a few pairs, those that words put in part. Short phrases count only whole. A hit is verified by its words, so
 equal hashes of other words do not vote.
 
 The templates are a fixed list, and broadcast. Texts stay in place; what is shuffled is the hits.
@@ -49,7 +49,9 @@ NOTICES = {
 }
 GRAM = 2          # words
 DRIFT = 3         # diagonals this close are merged
-SHARE = 0.9       # of a notice's word pairs that must be found
+SHARE = 0.9       # of a notice's word pairs that must be found; or all its words, in so many pairs:
+LOST, LEAST = 2, 7   # pairs that words put in may part, in notices of at least so many pairs; the
+                  # shorter ones tell their siblings by single words
 STRETCH = 1.5     # a span is at most this many times as long as its notice
 PHRASE_SCORE = 0.5
 _TEXT = -1        # template number of the row that every text has, with its number of words
@@ -125,22 +127,35 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None,
     of_text = ["row", "doc_id", "template", "label", "phrase", "grams"]
     votes = (hits.groupBy(*of_text, (F.col("place") - F.col("at")).alias("diagonal"))
              .agg(F.count(F.lit(1)).alias("votes"), F.min("place").alias("low"),
-                  F.max("place").alias("high"))
-             .where((F.col("template") == _TEXT)
-                    | F.when(F.col("phrase"), F.col("votes") == F.col("grams"))
-                    .otherwise(F.col("votes") >= F.least(F.lit(3), F.col("grams")))))
-    along = Window.partitionBy(*of_text).orderBy("diagonal")
-    jump = F.col("phrase") | (F.col("diagonal") - F.lag("diagonal").over(along) > DRIFT)
-    merged = (votes.withColumn("jump", F.coalesce(jump, F.lit(True)).cast("int"))
-              .withColumn("run", F.sum("jump").over(along))
-              .groupBy(*of_text, "run")
-              .agg(F.sum("votes").alias("votes"), F.min("low").alias("low"),
-                   (F.max("high") + GRAM).alias("high"), F.min("diagonal").alias("diagonal")))
-    share = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
-    verified = (share >= SHARE) & (F.col("high") - F.col("low")
-                                   <= STRETCH * (F.col("grams") + GRAM - 1))
+                  F.max("place").alias("high"), F.collect_set("at").alias("ats"))
+             .where(~F.col("phrase") | (F.col("votes") == F.col("grams"))))
+    # Every diagonal of a notice with those up to DRIFT after it: no run of strays makes it longer.
+    near = Window.partitionBy(*of_text).orderBy("diagonal").rangeBetween(0, DRIFT)
+    whole = F.col("phrase") | (F.col("template") == _TEXT)
+
+    def over(alone, value):
+        return F.when(whole, alone).otherwise(value.over(near))
+
+    merged = (votes.withColumn("found", F.when(~whole, F.array_distinct(F.flatten(
+                  F.collect_list("ats").over(near)))))
+              .select(*of_text, "diagonal", "found",
+                      over(F.col("low"), F.min("low")).alias("low"),
+                      (over(F.col("high"), F.max("high")) + GRAM).alias("high")))
+    n = F.size("found")
+    share = n / F.col("grams")
+    # Lost pairs whose neighbours are found: no word of the notice is missing.
+    covered = F.forall(F.sequence(F.lit(0), F.col("grams")), lambda w: F.array_contains("found", w)
+                       | F.array_contains("found", w - 1))
+    verified = ((share >= SHARE) | (F.col("grams") >= LEAST) & (n >= F.col("grams") - LOST) & covered) & (
+        F.col("high") - F.col("low") <= STRETCH * (F.col("grams") + GRAM - 1))
     is_text, phrase = F.col("template") == _TEXT, F.col("phrase")
-    notice = ~is_text & ~phrase & verified
+    merged = merged.withColumn("notice", F.coalesce(~is_text & ~phrase & verified, F.lit(False)))
+    # Diagonals before a notice's own reach it as well: of spans with one end the fullest counts,
+    # and of these the shortest.
+    rank = F.when(F.col("notice"), F.struct(F.size("found"), "low"))
+    best = F.max(rank).over(Window.partitionBy(*of_text, "high"))
+    merged = merged.withColumn("notice", F.coalesce(rank == best, F.lit(False)))
+    notice = F.col("notice")
 
     def joined(wanted):
         return F.array_join(F.array_sort(F.collect_set(F.when(wanted, F.col("label")))), ",")
