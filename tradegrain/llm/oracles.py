@@ -80,3 +80,60 @@ FROM vector
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
 LEFT JOIN (SELECT node AS vec_id, min(low) AS low FROM reach GROUP BY node) USING (vec_id)
 """
+
+ORACLES["op11_line_dedup"] = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l
+    FROM documents
+), line AS (
+    SELECT r, doc_id, i, l[i] AS line,
+           translate(trim(l[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM doc, unnest(range(1, len(l) + 1)) AS u(i)
+), common AS (
+    SELECT key, max(doc_id) AS last
+    FROM (SELECT DISTINCT r, doc_id, key FROM line WHERE length(key) >= 20)
+    GROUP BY key HAVING count(*) >= 3
+), kept AS (
+    SELECT r, i, line, common.key IS NULL OR doc_id IS NOT DISTINCT FROM last AS stays
+    FROM line LEFT JOIN common USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+       count(*) FILTER (WHERE NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE stays), ''))
+           AS kept_sha256
+FROM kept JOIN doc USING (r) GROUP BY r
+"""
+
+ORACLES["op13_ranked_search"] = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), size AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM doc WHERE len(w) > 0
+), posting AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM doc) GROUP BY r, term
+), item AS (
+    SELECT row_number() OVER () AS q, item_id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT * FROM benchmark)
+), wanted AS (SELECT item_id, q, term, count(*) AS n FROM item GROUP BY item_id, q, term
+), weight AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM posting, size GROUP BY term, docs
+), impact AS (
+    SELECT r, term, (1000000000 * tf)
+        // (1000 * tf + 8 * (25 + (75 * len(doc.w)::BIGINT * docs) // terms)) AS x
+    FROM posting JOIN doc USING (r), size
+), score AS (
+    SELECT item_id, q, r, sum(n * w * x)::BIGINT AS score
+    FROM wanted JOIN weight USING (term) JOIN impact USING (term) GROUP BY item_id, q, r
+), placed AS (
+    SELECT item_id, doc_id, score,
+           row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank
+    FROM score JOIN doc USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""

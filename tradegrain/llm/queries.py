@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradegrain.llm import (decontaminate, interpolation, language, licenses, packing, repeats,
-                            secrets, simhash, toxicity, vectors)
+from tradegrain.llm import (alignment, decontaminate, interpolation, language, licenses, lines,
+                            packing, repeats, search, secrets, simhash, toxicity, vectors)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,6 +58,20 @@ def op10_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     return interpolation.score(_table(spark, folder, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.remove_lines(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(_table(spark, folder, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, folder)
@@ -66,4 +80,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_decontaminate, op2_substring_dedup, op3_secrets, op4_packing,
                             op5_toxicity, op6_vector_dedup, op7_language, op8_licenses,
-                            op9_simhash, op10_interpolation, pipeline)}
+                            op9_simhash, op10_interpolation, op11_line_dedup, op12_alignment,
+                            op13_ranked_search, pipeline)}

@@ -7,10 +7,10 @@ of a character outside ASCII belong to words, so that no character is ever cut.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh64_intdigest
 
 PIECE_BYTES = 2 << 20  # texts are hashed in pieces of about this size; a longer text is one piece
 
@@ -20,17 +20,10 @@ _LOWER = np.where((_ALL >= 65) & (_ALL <= 90), _ALL + 32, _ALL).astype(np.uint8)
 LETTERS = ((_ALL >= 48) & (_ALL <= 57)) | ((_ALL >= 97) & (_ALL <= 122)) | (_ALL >= 128)
 NON_SPACE = ~((_ALL == 32) | ((_ALL >= 9) & (_ALL <= 13)))
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _HALF = np.uint64(32)
-
-
-@cache
-def _powers(base: int, size: int) -> np.ndarray:
-    table = np.full(size, base, np.uint64)
-    table[0] = 1
-    return np.cumprod(table, dtype=np.uint64)
+_LONG_WORD = 512         # bytes
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -43,10 +36,10 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts (null: empty) and where each begins and ends."""
+    """The bytes of all texts or binary values (null: empty), and where each begins and ends."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = texts.buffers()
@@ -83,15 +76,22 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)
 
     def hashes(self) -> np.ndarray:
-        n = len(self.data)
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        size = 1 << max(20, n.bit_length())
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, size)[:n],
-                  out=total[1:])
-        own = (total[self.ends] - total[self.starts]) * _powers(_INVERSE, size)[self.starts]
-        return mix(own, (self.ends - self.starts).astype(np.uint64))
+        """64 bits of each word: its length, mixed with eight bytes after eight; long words, of
+        which there are few, by XXH64. Words of one length up to eight bytes never share them."""
+        lengths = self.ends - self.starts
+        data = np.append(self.data, np.zeros(8, np.uint8))
+        eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        found = lengths.astype(np.uint64)
+        live = np.flatnonzero(lengths <= _LONG_WORD)
+        for at in range(0, _LONG_WORD, 8):
+            live = live[lengths[live] > at]
+            if not len(live):
+                break
+            rest = np.minimum(lengths[live] - at, 8)
+            found[live] = mix(found[live], eights[self.starts[live] + at] & _FIRST_BYTES[rest])
+        for i in np.flatnonzero(lengths > _LONG_WORD):
+            found[i] = xxh64_intdigest(self.word(i))
+        return found
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
