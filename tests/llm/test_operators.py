@@ -19,6 +19,7 @@ import corpus_pipeline
 from tradegrain.llm import (decontaminate, interpolation, language, licenses, packing, repeats,
                             secrets, simhash, toxicity, vectors)
 from tradegrain.llm.components import components
+from tradegrain.llm.words import buffers
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 RANDOM = np.random.default_rng(7)
@@ -183,7 +184,7 @@ def test_encoder_equals_whole_text():
              "<|endoftext|>", "<|ENDOFTEXT|>", "12", "ς", "Σ", "—", "!!", "'ll,", "x,\r", "日本", "İ"]
     for _ in range(400):
         text = "".join(RANDOM.choice(signs, RANDOM.integers(0, 12)).tolist())
-        assert encoder.ids([text.encode()])[0].tolist() == whole.encode(
+        assert encoder.each(*buffers(pa.array([text])))[0].tolist() == whole.encode(
             text, add_special_tokens=False).ids, repr(text)
 
 

@@ -2,10 +2,14 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tradegrain.llm import licenses, packing, secrets, toxicity
+from tradegrain.llm import (decontaminate, language, licenses, packing, secrets, simhash,
+                            toxicity)
+from tradegrain.llm.words import buffers
 
 RANDOM = np.random.default_rng(11)
 LETTERS_AND_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -93,7 +97,7 @@ def test_encoder_with_combining_marks():
              "\u212b", " ", " ", ", ", ". ", "\n", "\u0323", "H", "e", "\xa0", "<|", "Z\xfc"]
     for _ in range(400):
         text = "".join(RANDOM.choice(signs, RANDOM.integers(1, 12)).tolist())
-        assert encoder.ids([text.encode()])[0].tolist() == whole.encode(
+        assert encoder.each(*buffers(pa.array([text])))[0].tolist() == whole.encode(
             text, add_special_tokens=False).ids, repr(text)
 
 
@@ -113,3 +117,42 @@ def test_license_with_words_put_in(spark, text, label):
     ("licensed under the apache license version 1 0", "apache-2.0")])
 def test_license_of_a_sibling(spark, text, label):
     assert label not in licenses.scan(frame(spark, [text])).first()["labels"].split(",")
+
+
+def test_encoder_on_random_marks():
+    """Capitals before combining marks, special tokens, signs and white space in any order."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, whole = packing.Encoder(open(path).read()), Tokenizer.from_file(path)
+    signs = list("aAbBhHéÉ .,\n\t\u030cJT\u0308W\u0301ñ'1<|>中\u0331😀ΣςA")
+    texts = ["".join(RANDOM.choice(signs, RANDOM.integers(0, 60))) for _ in range(5000)]
+    texts += ["a <|endoftext|> B", "H\u0331asan.", "x <|b c,", "", "." * 9, "Ab., cD. ,"]
+    for repeat in range(2):
+        found = encoder.each(*buffers(pa.array(texts)))
+        assert [x.tolist() for x in found] == [
+            e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_odd_column_names(spark):
+    rows = [(i, t, 1, 2, 3) for i, t in enumerate(["", None, "A login: password = hunter2hunter2",
+                                                   "some words", "some words"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, _spans int, `x``y` int")
+    labels = spark.createDataFrame([(0, 0), (2, 1)], "doc_id long, toxic int")
+    items = spark.createDataFrame([(1, "no such passage")], "item_id long, text string")
+    for kept, n in ((secrets.redact(docs), 5), (simhash.deduplicate(docs), 3),
+                    (toxicity.remove_toxic(docs, labels), 5),
+                    (decontaminate.decontaminate(docs, items), 5)):
+        assert kept.columns == docs.columns and len(kept.collect()) == n
+    assert "hunter2" not in "".join(r.text or "" for r in secrets.redact(docs).collect())
+
+
+def test_copies_do_not_fill_the_sample_of_a_language(spark):
+    rows = [("dies ist ein langer Satz", "de")] * 3000 + [(f"ein Satz {i}", "de") for i in range(40)]
+    rows += [(f"the sentence number {i}", "en") for i in range(50)] + [("copia sola", "es")] * 2000
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                                 "doc_id long, text string, lang string")
+    found = language.sample(docs, F.lit(True), 20)
+    n = {r["lang"]: r["count"] for r in found.groupBy("lang").count().collect()}
+    assert set(n) == {"de", "en", "es"} and n["es"] == 1 and max(n.values()) <= 45
+    weights = {r.text: r.weight for r in found.collect()}
+    assert weights["copia sola"] == 2000
+    assert weights.get("dies ist ein langer Satz", 3000) == 3000

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -30,9 +33,29 @@ def ship(spark: SparkSession) -> None:
 
 def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
           schema: StructType | str) -> DataFrame:
-    """mapInArrow with a function of this package."""
+    """mapInArrow with a function of this package. A task gives back what it has freed when it
+    ends, since its Python worker lives on."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
+
+
+def release() -> None:
+    """Return freed memory to the system: Arrow's pool and, where there is one, glibc's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def quoted(columns: list[str]) -> list[Column]:
+    """Columns by name, whatever signs the names hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in columns]
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -54,17 +77,19 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: StructType,
 
     Rows stay where they are: nothing is shuffled, and all other columns pass through.
     """
+    # By position, since mapInArrow does not take every name.
     names = [*df.columns, *(f.name for f in outputs)]
     where = [df.columns.index(c) for c in inputs]
+    plain = [f"c{i}" for i in range(len(names))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = pa.RecordBatch.from_arrays([batch.column(i) for i in where], names=inputs)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(wanted)], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(wanted)], names=plain)
 
-    schema = StructType([*df.schema.fields,
-                         *(StructField(f.name, f.dataType, True) for f in outputs)])
-    return arrow(df, run, schema)
+    fields = [*df.schema.fields, *(StructField(f.name, f.dataType, True) for f in outputs)]
+    schema = StructType([StructField(n, f.dataType, f.nullable) for n, f in zip(plain, fields)])
+    return arrow(df.toDF(*plain[:len(df.columns)]), run, schema).toDF(*names)
 
 
 def text_bytes(df: DataFrame, column: str = "text") -> int:

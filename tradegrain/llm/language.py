@@ -3,14 +3,15 @@
 A text is the average of the embeddings of its subwords (three neighbouring bytes within or at the
 edge of words, and whole words), found by hash in a table of BUCKETS rows. A softmax over the
 languages stands on that average. Both are trained together by stochastic gradient descent in
-numpy, on a bounded sample: about `per_language` texts of every language, by a hash of the id.
+numpy, on a bounded sample: about `per_language` distinct texts of every language, by a hash.
 A held-back part of the sample sets the temperature that calibrates the probabilities, and the
 probability below which a prediction is `rejected` (it is reported all the same).
 
 Prediction needs only the product of both tables, one number per subword and language.
 
 Rows: null texts and texts without a letter are `und` with score 0, and so is every text if there is
-nothing to learn from. Texts without a language are never learned from.
+nothing to learn from. Texts without a language are never learned from. Repeated rows are learned
+from once, and one text in several languages once in each.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, FloatType, IntegerType,
-                               StringType, StructField, StructType)
+                               LongType, StringType, StructField, StructType)
 
 from tradegrain.llm.frames import add_columns, arrow, in_fold
 from tradegrain.llm.words import LETTERS, Words, buffers, pieces
@@ -101,24 +102,37 @@ def _counted(batches):
         flat = [np.concatenate(c) for c in zip(*found)] if found else [
             np.zeros(0, np.int32), np.zeros(0, np.float32)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2),
+            [batch.column(0), batch.column(2), batch.column(3),
              *(pa.ListArray.from_arrays(ends, pa.array(f)) for f in flat)],
-            names=["lang", "check", "buckets", "shares"])
+            names=["lang", "check", "weight", "buckets", "shares"])
 
 
 def sample(docs: DataFrame, learn: Column, per_language: int) -> DataFrame:
-    """About `per_language` rows of each language, by a hash of the id and the text."""
+    """(lang, text, check, weight): about `per_language` distinct texts of each language, by a hash
+    of the text; `weight` is how many rows have it. At least the text of the smallest hash stays,
+    so that every language is learned."""
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count()     # as many rows as the model has columns
-    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return (known.select("lang", "doc_id", "text").join(F.broadcast(counts), "lang").where(place < share)
-            .select("lang", "text", (F.pmod(F.xxhash64("text", "doc_id"), F.lit(5)) == 0)
-                    .alias("check")))
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    rows = known.select("lang", place.alias("place"),
+                        F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"))
+    distinct = rows.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("weight"),
+                                               F.min("place").alias("place"))
+    counts = (distinct.groupBy("lang")      # as many rows as the model has columns
+              .agg(F.count(F.lit(1)).alias("texts"), F.min("place").alias("least")))
+    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("texts"))
+    chosen = (distinct.join(F.broadcast(counts), "lang")
+              .where((F.col("place") < share) | (F.col("place") == F.col("least"))))
+    texts = (known.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
+             .join(F.broadcast(chosen.select("lang", "key", "weight")), ["lang", "key"])
+             .groupBy("lang", "key").agg(F.first("text").alias("text"),
+                                        F.first("weight").alias("weight")))
+    return texts.select("lang", "text", (F.pmod(F.xxhash64("text", F.lit(5)), F.lit(5)) == 0)
+                        .alias("check"), "weight")
 
 
 def train(rows: list[tuple], seed: int = 0) -> Model | None:
-    """`rows`: (language, held back, buckets, shares)."""
+    """`rows`: (language, held back, weight, buckets, shares). Texts are learned from once each; the
+    weights, how many rows have a text, count where the probabilities are calibrated."""
     if not rows:
         return None
     languages = sorted({r[0] for r in rows})
@@ -133,7 +147,7 @@ def train(rows: list[tuple], seed: int = 0) -> Model | None:
     learn = np.flatnonzero(~held)
 
     def mean(row) -> np.ndarray:
-        return row[3] @ embed[row[2]]
+        return row[4] @ embed[row[3]]
 
     steps, step = EPOCHS * -(-len(learn) // BATCH), 0
     for _ in range(EPOCHS):
@@ -146,18 +160,19 @@ def train(rows: list[tuple], seed: int = 0) -> Model | None:
             weight -= rate * x.T @ error
             bias -= rate * error.mean(axis=0)
             for i, g in zip(batch, back):
-                embed[rows[i][2]] -= (rate * len(languages)) * np.outer(rows[i][3], g)
+                embed[rows[i][3]] -= (rate * len(languages)) * np.outer(rows[i][4], g)
     table = embed @ weight
     check = np.flatnonzero(held) if held.any() else learn
-    scores = np.stack([rows[i][3] @ table[rows[i][2]] for i in check]) + bias
+    scores = np.stack([rows[i][4] @ table[rows[i][3]] for i in check]) + bias
+    weights = np.array([rows[i][2] for i in check], np.float64)
     heats = np.geomspace(0.05, 20, 60)
-    loss = [-np.log(softmax(scores / t)[np.arange(len(check)), label[check]] + 1e-12).mean()
-            for t in heats]
+    loss = [-(weights * np.log(softmax(scores / t)[np.arange(len(check)), label[check]] + 1e-12))
+            .sum() for t in heats]
     heat = heats[int(np.argmin(loss))]
     best = softmax(scores / heat)
     right, top = best.argmax(axis=1) == label[check], best.max(axis=1)
     order = np.argsort(-top)
-    good = np.cumsum(right[order]) / np.arange(1, len(order) + 1) >= PRECISION
+    good = np.cumsum((weights * right)[order]) / np.cumsum(weights[order]) >= PRECISION
     least = float(top[order][np.flatnonzero(good)[-1]]) if good.any() else 1.0
     return Model(languages, (table / heat).astype(np.float32), bias / heat, least)
 
@@ -165,14 +180,14 @@ def train(rows: list[tuple], seed: int = 0) -> Model | None:
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model of the `lang` of the rows where `learn` is true."""
     schema = StructType([StructField("lang", StringType()), StructField("check", BooleanType()),
-                         StructField("buckets", ArrayType(IntegerType())),
+                         StructField("weight", LongType()), StructField("buckets", ArrayType(IntegerType())),
                          StructField("shares", ArrayType(FloatType()))])
-    found = arrow(sample(docs, learn, per_language).select("lang", "text", "check"), _counted,
+    found = arrow(sample(docs, learn, per_language).select("lang", "text", "check", "weight"), _counted,
                   schema).toArrow()
-    columns = [found[n].to_pylist() for n in ("lang", "check")]
+    columns = [found[n].to_pylist() for n in ("lang", "check", "weight")]
     lists = [[x.values.to_numpy(zero_copy_only=False) for x in found[n]]
              for n in ("buckets", "shares")]
-    rows = sorted(zip(*columns, *lists), key=lambda r: (r[0], r[1], r[2].tobytes(), r[3].tobytes()))
+    rows = sorted(zip(*columns, *lists), key=lambda r: (*r[:3], r[3].tobytes(), r[4].tobytes()))
     return train(rows)
 
 

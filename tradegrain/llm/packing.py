@@ -7,16 +7,16 @@ the other (`bucket`), so that a trainer reads them in batches of equal shape.
 
 Words between ASCII spaces are tokenized apart, which gives the same tokens since the tokenizer
 never joins across white space; a Python worker tokenizes a word once as long as it remembers it.
+Words are remembered by 64-bit hashes: by chance two among n share one with n^2 / 2^65, and a worker
+forgets all beyond `_KNOWN_WORDS`.
 
 Rows: null and empty texts are one piece, the end token. Repeated rows are packed each.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from functools import cache
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -28,42 +28,104 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from tokenizers import Tokenizer
 
 from tradegrain.llm.frames import arrow
-from tradegrain.llm.words import buffers, pieces
+from tradegrain.llm.words import NON_SPACE, Words, buffers, pieces
 from tradegrain.operators.numbering import number_rows
 from tradegrain.session import settle
 
 LONGEST = 4096
 END = 2
-_KNOWN_WORDS = 600_000   # tokenized words that a Python worker remembers
-# A word and the one comma or full stop after it, before white space, are tokenized apart anyway.
-_LAST_SIGN = re.compile(rb"(?<=[A-Za-z])(?=[.,](?:[ \n]|$))")
+_KNOWN_WORDS = 1_000_000 # tokenized words that a Python worker remembers, some 30 bytes each
+_LAYERS = 8              # tables that they are looked up in; more are merged
+_JOINED = 1000           # new words that are tokenized in one call
 _SPECIAL = b"<|"         # may begin a special token, whose capitals count
 
 
 class Encoder:
-    """Token ids of texts, word by word, remembering the words it has met."""
+    """Token ids of texts, word by word, remembering the words it has met by their hashes."""
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(found.ids, np.uint32).tobytes()
-                for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Of UTF-8 texts. bytes.split() cuts at ASCII white space only."""
-        # Capitals of ASCII words go first: the tokenizer lowers them all, and words are then met
-        # more often. Others stay: a capital and its mark may compose only before they are lowered.
-        parts = [[t] if _SPECIAL in t else _LAST_SIGN.sub(b" ", t.lower()).split() if t.isascii()
-                 else [w.lower() if w.isascii() else w for w in _LAST_SIGN.sub(b" ", t).split()]
-                 for t in texts]
-        met = set(chain.from_iterable(parts))
-        if len(self.known) > _KNOWN_WORDS:
+        # Tables of remembered words: hashes (sorted), where each one's ids begin, how many, ids.
+        self.known: list[tuple[np.ndarray, ...]] = []
+        # A special token between words keeps them apart in one call.
+        self.between = next(((i, t.content) for i, t in
+                             self.tokenizer.get_added_tokens_decoder().items()
+                             if t.content.encode().startswith(_SPECIAL)), None)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(found.ids, np.uint32)
+                for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[np.ndarray]:
+        if self.between is None:
+            return self.whole(words)
+        mark, text = self.between
+        out: list[np.ndarray] = []
+        for low in range(0, len(words), _JOINED):
+            ids = self.whole([text.join(words[low:low + _JOINED])])[0]
+            ends = np.flatnonzero(ids == mark)
+            out += [x[x != mark] for x in np.split(ids, ends)]
+        return out
+
+    def _look_up(self, met: np.ndarray, word) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each hash begin and how many they are, and the ids; `word` gives the
+        text of the i-th hash, if it is new."""
+        if sum(len(keys) for keys, *_ in self.known) > _KNOWN_WORDS:
             self.known.clear()
-        new = list(met.difference(self.known))
-        self.known.update(zip(new, self._encode([w.decode() for w in new])))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), np.uint32) for p in parts]
+        elif len(self.known) >= _LAYERS:
+            base = np.cumsum([0, *(len(flat) for *_, flat in self.known)])
+            keys, start, size, flat = map(np.concatenate, zip(*(
+                (k, s + b, n, f) for (k, s, n, f), b in zip(self.known, base.tolist()))))
+            order = np.argsort(keys)
+            self.known = [(keys[order], start[order].astype(np.int32), size[order], flat)]
+        left, base = np.arange(len(met)), 0
+        starts, sizes = np.zeros(len(met), np.int64), np.zeros(len(met), np.int64)
+        for keys, start, size, flat in self.known:
+            at = np.minimum(np.searchsorted(keys, met[left]), len(keys) - 1)
+            hit = keys[at] == met[left]
+            starts[left[hit]] = base + start[at[hit]]
+            sizes[left[hit]] = size[at[hit]]
+            left, base = left[~hit], base + len(flat)
+        if len(left):
+            own = self._words([word(i) for i in left.tolist()])
+            size = np.array([len(x) for x in own], np.int32)
+            start = (np.cumsum(size) - size).astype(np.int32)
+            starts[left], sizes[left] = base + start, size
+            self.known.append((met[left], start, size, np.concatenate(own)))
+        return starts, sizes, np.concatenate([np.zeros(0, np.uint32), *(f for *_, f in self.known)])
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of UTF-8 texts laid end to end: all ids, and where each text's begin (one more)."""
+        # Capitals go first: the tokenizer lowers them all, and words are then met more often. One
+        # with a byte outside ASCII behind it stays, as it may compose before it is lowered.
+        after = np.append(data[1:], np.uint8(0)) >= 128
+        low = np.where((data >= 65) & (data <= 90) & ~after, data | 32, data)
+        words = Words(low, offsets, NON_SPACE, lower=False)
+        # A word and the one comma or full stop after it are tokenized apart anyway.
+        last, before = low[words.ends - 1], low[words.ends - 2]
+        sign = words.ends[((last == 44) | (last == 46)) & (words.ends - words.starts > 1)
+                          & (before >= 97) & (before <= 122)] - 1
+        words.starts = np.sort(np.concatenate([words.starts, sign]))
+        words.ends = np.sort(np.concatenate([words.ends, sign]))
+        words.first = np.searchsorted(words.starts, offsets)
+        met, at, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        start, size, flat = self._look_up(met, lambda i: words.word(at[i]).decode())
+        # The ids of all words in their order.
+        sizes = size[back]
+        ends = np.cumsum(sizes)
+        place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start[back] - ends + sizes,
+                                                                        sizes)
+        return flat[place], np.concatenate([[0], ends])[words.first]
+
+    def each(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text."""
+        ids, first = self.ids(data, offsets)
+        out = [ids[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+        if _SPECIAL in data.tobytes():
+            for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
+                if _SPECIAL in (text := data[a:b].tobytes()):
+                    out[i] = self.whole([text.decode()])[0]
+        return out
 
 
 @cache
@@ -94,9 +156,8 @@ def pieces_of(docs: DataFrame, definition: str, longest: int = LONGEST, end: int
             data, offsets = buffers(batch.column(1))
             for low, high in pieces(offsets):
                 row, found, ids = [], [[], [], [], []], []
-                part = [data[a:b].tobytes() for a, b in zip(offsets[low:high],
-                                                            offsets[low + 1:high + 1])]
-                for i, own in enumerate(known.ids(part)):
+                edge = offsets[low:high + 1]
+                for i, own in enumerate(known.each(data[edge[0]:edge[-1]], edge - edge[0])):
                     own = np.append(own, np.uint32(end)).astype("<u4")
                     start = 0
                     for size in lengths(len(own), longest):

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradegrain.llm.frames import fresh
+from tradegrain.llm.frames import fresh, quoted
 from tradegrain.session import settle
 
 # The forms, in the order in which spans that start together are listed. Matches
@@ -282,25 +282,25 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """`docs` with every span replaced by `mask`; n_chars, if there, follows the text."""
-    row = fresh(docs, "row")
+    row, place = fresh(docs, "row"), fresh(docs, "spans")
     marked = settle(docs.withColumn(row, F.monotonically_increasing_id()), "marked")
     found = (spans(marked.select(F.col(row).alias("row"), "text"), ["row"])
-             .where(F.size("all") > 0).select(F.col("row").alias(row), F.col("all").alias("_spans")))
+             .where(F.size("all") > 0).select(F.col("row").alias(row), F.col("all").alias(place)))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def piece(low, high):
         return F.substring("text", (low + 1).cast("int"), F.greatest(high - low, F.lit(0)).cast("int"))
 
-    parts = F.aggregate("_spans", start, lambda acc, s: F.when(
+    parts = F.aggregate(place, start, lambda acc, s: F.when(
         s["end"] <= acc["at"], acc).otherwise(F.struct(
             F.concat(acc["out"], piece(acc["at"], s["start"]),
                      F.when(s["start"] >= acc["at"], F.lit(mask)).otherwise(F.lit("")))
             .alias("out"), s["end"].alias("at"))))
     clean = F.concat(parts["out"], piece(parts["at"], F.length("text").cast("long")))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean)
+    text = F.when(F.col(place).isNull(), F.col("text")).otherwise(clean)
     joined = marked.join(found, row, "left").withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        joined = joined.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars"))
+        joined = joined.withColumn("n_chars", F.when(F.col(place).isNull(), F.col("n_chars"))
                                    .otherwise(F.length("text")).cast(kind))
-    return joined.select(*docs.columns)
+    return joined.select(*quoted(docs.columns))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tradegrain.llm.components import components, forest
-from tradegrain.llm.frames import add_columns, arrow, fresh
+from tradegrain.llm.frames import add_columns, arrow, fresh, quoted
 from tradegrain.llm.words import NON_SPACE, each_piece, mix
 from tradegrain.session import settle
 
@@ -229,4 +229,4 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     first = prints.groupBy("fp").agg(F.min(order).alias("first"))
     kept = (grouped_prints(prints).join(first, "fp").groupBy("root")
             .agg(F.min("first").alias("first")).select(F.col("first.row").alias(row)))
-    return marked.join(kept, row, "left_semi").select(*docs.columns)
+    return marked.join(kept, row, "left_semi").select(*quoted(docs.columns))
