@@ -19,7 +19,7 @@ FAILED = "failed_rules"
 class Rule:
     """A row meets the rule only where `predicate` is TRUE; NULL counts as a violation.
 
-    warn keeps the row and notes it, drop leaves it out, quarantine sets it aside, and fail
+    warn keeps the row (`warned` lists what it breaks), drop leaves it out, quarantine sets it aside, and fail
     ends the job.
     """
     name: str
@@ -50,19 +50,26 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return checked
 
 
+def _violates(rules: Sequence[Rule], action: Action) -> Column:
+    names = [F.lit(r.name) for r in rules if r.action == action]
+    return F.arrays_overlap(F.col(FAILED), F.array(*names)) if names else F.lit(False)
+
+
 def split(checked: DataFrame, rules: Sequence[Rule]) -> Split:
     """Part checked rows three ways. A row that violates a quarantine rule is quarantined, once,
     whatever else it violates; of the others, one that violates a drop rule is dropped."""
-    def violates(action: Action) -> Column:
-        names = [F.lit(r.name) for r in rules if r.action == action]
-        return F.arrays_overlap(F.col(FAILED), F.array(*names)) if names else F.lit(False)
-
-    quarantined, dropped = violates("quarantine"), violates("drop")
+    quarantined, dropped = (_violates(rules, action) for action in ("quarantine", "drop"))
     return Split(checked.filter(~quarantined & ~dropped).drop(FAILED),
                  checked.filter(quarantined),
                  checked.filter(dropped & ~quarantined))
 
 
+def warned(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows that stay although they break rules, with the names of these."""
+    return checked.filter(~_violates(rules, "quarantine") & ~_violates(rules, "drop")
+                          & (F.size(FAILED) > 0))
+
+
 def violations(df: DataFrame, rules: Sequence[Rule], entity: str) -> DataFrame:
     """Violations per rule: one scan and one aggregate, turned into a row per rule."""
     counts = df.agg(*[F.count_if(rule.violated).alias(rule.name) for rule in rules])

@@ -13,11 +13,27 @@ from pyspark.sql.types import StringType, StructType
 
 from tradegrain.functions import canonical
 from tradegrain.operators.keys import keep_one, surplus_rows
-from tradegrain.operators.rules import Rule, apply_rules, split, violations
+from tradegrain.operators.rules import (
+    FAILED,
+    Rule,
+    apply_rules,
+    observed,
+    split,
+    violations,
+    warned,
+)
 from tradegrain.plans.sales_metrics import sales_metrics
 from tradegrain.plans.sales_rules import customer_rules, order_rules, product_rules
 from tradegrain.session import settle
-from tradegrain.sources.json_files import CORRUPT, LINEAGE, read_json, with_lineage
+from tradegrain.sources.json_files import (
+    CORRUPT,
+    DOCUMENT,
+    LINEAGE,
+    read_documents,
+    read_json,
+    unseen_fields,
+    with_lineage,
+)
 from tradegrain.sources.schemas import (
     CATEGORIES,
     CUSTOMERS,
@@ -39,8 +55,14 @@ class Entity:
 
 
 class Silver(NamedTuple):
+    """The clean table; the rows set aside and left out, each with the rules it breaks and what
+    bronze knows of it; the keys of rows that stay although they break rules that only warn; and
+    the number of rows and of violations of each rule, counted as the rows were written."""
     table: DataFrame
     quarantine: DataFrame
+    dropped: DataFrame
+    warned: DataFrame
+    counters: dict[str, int]
 
 
 def entities() -> dict[str, Entity]:
@@ -54,15 +76,33 @@ def entities() -> dict[str, Entity]:
     }
 
 
-def bronze(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def bronze(spark: SparkSession, path: str, schema: StructType | None = None,
+           documents: bool = False) -> DataFrame:
     """The raw lines as they are, malformed ones kept as text, with file and read time.
 
     Written once with all columns: a JSON reader that is asked for some columns only does not see
-    what is malformed in the others, and later steps would disagree about a line.
+    what is malformed in the others, and later steps would disagree about a line. With `documents`
+    (and a `schema`) the whole line is kept as a VARIANT too, with the fields that the schema does
+    not name; see `drift` and `field_of`.
     """
+    if documents:
+        return settle(read_documents(spark, path, schema), "bronze")
     return settle(with_lineage(read_json(spark, path, schema, keep_corrupt=True)), "bronze")
 
 
+def drift(raw: dict[str, DataFrame], specs: dict[str, Entity]) -> DataFrame:
+    """Per entity, the fields that its lines hold beyond its schema: type, rows, first file."""
+    return reduce(DataFrame.unionByName, [
+        unseen_fields(raw[name], spec.schema.names)
+        .select(F.lit(name).alias("entity"), "field", "type", "rows", "first_file")
+        for name, spec in specs.items()])
+
+
+def field_of(name: str, kind: str) -> Column:
+    """A field of the bronze documents as `kind`; NULL where it is absent or of another type."""
+    return F.try_variant_get(DOCUMENT, "$['{}']".format(name.replace("'", "\\'")), kind)
+
+
 def normalise(raw: DataFrame, entity: Entity, beside: Sequence[str] = ()) -> DataFrame:
     """The entity's columns, typed where the value allows it, trimmed, in allowed spelling; and
     the columns named `beside` as they are."""
@@ -96,20 +136,32 @@ def parse_rules(raw: DataFrame, entity: Entity) -> list[Rule]:
 
 def silver(raw: DataFrame, entity: Entity) -> Silver:
     """Normalise, check, part, and keep one row per key. Rules run before de-duplication, so
-    a good copy of a row survives a bad one. The quarantine keeps what bronze knows of a row, its
-    text if it was malformed and its lineage."""
+    a good copy of a row survives a bad one. What bronze knows of a row, its text if it was
+    malformed, its document and its lineage, stays with rows that are set aside or dropped."""
     known = [f.name for f in entity.schema if f.name in raw.columns]
     parsing = parse_rules(raw, entity)
     held = [r.name.removesuffix("_parses") for r in parsing
             if r.name.endswith("_parses") and r.name != "line_parses"]
-    extra = [c for c in raw.columns if c == CORRUPT or c in LINEAGE]
+    extra = [c for c in raw.columns if c in (CORRUPT, DOCUMENT, *LINEAGE)]
     beside = raw.select("*", *[F.col(c).alias(f"_raw_{c}") for c in held])
     wide = normalise(beside, entity, [*extra, *(f"_raw_{c}" for c in held)])
     rules = [*entity.rules, *parsing]
-    # Written once: both parts, and the count of repeated keys, read it.
-    parts = split(settle(apply_rules(wide, rules), "checked"), rules)
+    # Written once: all parts, and the count of repeated keys, read it.
+    checked, counters = observed(apply_rules(wide, rules), rules, f"checked {entity.name}")
+    checked = settle(checked, "checked")
+    parts = split(checked, rules)
+    hidden = [f"_raw_{c}" for c in held]
     return Silver(keep_one(parts.valid.select(*known), [entity.key]),
-                  parts.quarantine.drop(*(f"_raw_{c}" for c in held)))
+                  parts.quarantine.drop(*hidden), parts.dropped.drop(*hidden),
+                  warned(checked, rules).select(entity.key, FAILED), counters.get)
+
+
+def counts_of(silvers: dict[str, Silver]) -> DataFrame:
+    """(entity, rule, violations) from the counters, and the rows of each entity as rule `rows`."""
+    rows = [(name, rule, n) for name, parts in silvers.items()
+            for rule, n in parts.counters.items()]
+    return next(iter(silvers.values())).table.sparkSession.createDataFrame(
+        rows, "entity string, rule string, violations long")
 
 
 def issue_summary(raw: dict[str, DataFrame], specs: dict[str, Entity]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradegrain.functions import contains_ignoring_case, is_one_of
 from tradegrain.operators.rules import Action, Rule
-from tradegrain.sources.schemas import CATEGORIES, CURRENCY, REGIONS, SEGMENTS
+from tradegrain.sources.schemas import CATEGORIES, CURRENCY, DISCOUNTS, REGIONS, SEGMENTS
 
 # The last day of the clean history, the cost band and the price band.
 HISTORY_END = "2026-05-31"
@@ -60,8 +60,9 @@ def domain_rules_products(categories: Iterable[str] = CATEGORIES) -> list[Rule]:
     ]
 
 
-def domain_rules_orders() -> list[Rule]:
+def domain_rules_orders(discounts: Iterable[int] = DISCOUNTS) -> list[Rule]:
     return [
+        Rule("discount_known", F.col("discount_pct").isin(list(discounts)), "warn"),
         Rule("discount_whole", F.col("discount_pct") == F.floor("discount_pct"), "warn"),
         Rule("currency_known", F.col("currency") == CURRENCY, "warn"),
     ]

@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tradegrain.functions import line_revenue, month_of
 from tradegrain.operators.changes import as_of, last_changes
 from tradegrain.operators.keys import keep_one, missing
-from tradegrain.plans.medallion import Entity, silver
+from tradegrain.plans.medallion import Entity, counts_of, silver
 from tradegrain.plans.serving import EVERY, append_changes, fold, read_history, recent_history
 from tradegrain.sources.json_files import CORRUPT, with_lineage
 
@@ -71,14 +71,17 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str, delay:
 
 
 def silver_stream(stream: DataFrame, entity: Entity, valid_path: str, quarantine_path: str,
-                  checkpoint: str) -> StreamingQuery:
+                  checkpoint: str, counts_path: str | None = None) -> StreamingQuery:
     """Clean and check each batch, and write its valid and quarantined rows.
 
-    Both outputs are folders per batch, replaced if the batch is run again. Copies of a key
-    within a batch are reduced to one; `current_rows` does the same across batches.
+    The outputs are folders per batch, replaced if the batch is run again. Copies of a key within
+    a batch are reduced to one; `current_rows` does the same across batches. In `counts_path` each
+    batch leaves its rows and violations per rule, which were counted as its rows passed by.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         parts = silver(batch, entity)
+        if counts_path:
+            _write_batch(counts_of({entity.name: parts}), counts_path, batch_id)
         _write_batch(parts.table, valid_path, batch_id)
         _write_batch(parts.quarantine, quarantine_path, batch_id)
 

@@ -362,6 +362,27 @@ def dq_actions(star):
         for part, rows in parts._asdict().items()])
 
 
+@query
+def silver_counters(star):
+    """Rows and violations per entity and rule, counted while the silver tables were written."""
+    return medallion.counts_of({name: _silver(star, name) for name in _raw(star)})
+
+
+@query
+def silver_dropped_and_warned(star):
+    """Lines that a rule drops, and customers that stay with a warning."""
+    entity = _entity(star, "orders")
+    actions = [replace(rule, action="drop") if rule.name == "quantity_positive" else rule
+               for rule in entity.rules]
+    dropped = medallion.silver(_raw(star)["orders"], replace(entity, rules=actions)).dropped
+    return _joined_rules(
+        dropped.select(F.lit("dropped").alias("part"), F.col("order_id").cast("string")
+                       .alias("key"), rules.FAILED)
+        .unionByName(_silver(star, "customers").warned.select(
+            F.lit("warned").alias("part"), F.col("customer_id").cast("string").alias("key"),
+            rules.FAILED)))
+
+
 @query
 def dq_price_band(star):
     return sales_rules.price_band(star.lines, star.products)
@@ -627,6 +648,52 @@ def bronze_malformed(star):
         F.col("_source_file").isNotNull().alias("has_source"))
 
 
+def _documents(star: Star) -> DataFrame:
+    """Bronze of customers whose lines hold fields that no schema names; some are cut off."""
+    spark = star.lines.sparkSession
+    folder = scratch_path(spark, "documents")
+    number = F.col("customer_id")
+    whole = F.to_json(F.struct(
+        "customer_id", "customer_name",
+        F.when(number % 53 == 0, "soon").otherwise(F.col("join_date").cast("string"))
+        .alias("join_date"),
+        F.when(number % 7 == 0, "gold").alias("loyalty"),
+        F.when(number % 11 == 0, F.struct(number.alias("points"), F.array("segment").alias("tags")))
+        .alias("club")))
+    mixed = F.when(number % 13 == 0, F.regexp_replace(whole, "}$", ',"rank":"first"}')).when(
+        number % 13 == 1, F.regexp_replace(whole, "}$", ',"rank":1}')).otherwise(whole)
+    star.customers.select(F.when(number % 41 == 0, F.regexp_replace(mixed, "}$", ""))
+                          .otherwise(mixed).alias("value")).write.text(folder)
+    schema = StructType.fromDDL("customer_id bigint, customer_name string, join_date date")
+    return medallion.bronze(spark, folder, schema, documents=True)
+
+
+@query
+def bronze_drift(star):
+    """Fields beyond the schema: in how many lines they stand, and as what."""
+    schema = StructType.fromDDL("customer_id bigint, customer_name string, join_date date")
+    entity = medallion.Entity("customers", schema, "customer_id", [])
+    return (medallion.drift({"customers": _documents(star)}, {"customers": entity})
+            .select("entity", "field", "type", "rows", F.col("first_file").isNotNull()
+                    .alias("has_file")))
+
+
+@query
+def bronze_documents(star):
+    """Values of fields beyond the schema, and what bronze made of each line."""
+    raw = _documents(star)
+    return raw.select(
+        F.coalesce(medallion.field_of("customer_id", "bigint"), F.regexp_extract(
+            F.coalesce(CORRUPT, F.lit("")), '"customer_id":([0-9]+)', 1).try_cast("bigint"))
+        .alias("customer_id"),
+        F.col("_document").isNull().alias("no_document"), F.col(CORRUPT).isNotNull()
+        .alias("malformed"), "join_date",
+        medallion.field_of("loyalty", "string").alias("loyalty"),
+        F.try_variant_get("_document", "$.club.points", "bigint").alias("points"),
+        F.try_variant_get("_document", "$.club.tags[0]", "string").alias("tag"),
+        medallion.field_of("rank", "string").alias("rank"))
+
+
 # --- streams -------------------------------------------------------------------------------
 
 def _line_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -675,6 +742,18 @@ def stream_quarantine(spark, folder):
     return _joined_rules(spark.read.parquet(quarantine).drop("batch"))
 
 
+@table_query
+def stream_counters(spark, folder):
+    """Rows and violations per rule over all batches of a stream."""
+    valid, quarantine, counts, state = (scratch_path(spark, n) for n in (
+        "valid", "quarantine", "counts", "state"))
+    entity = _entity(load_star(spark, folder), "orders")
+    stream = tpch.lines_with_issues(_line_stream(spark, folder))
+    jobs.finish(jobs.silver_stream(stream, entity, valid, quarantine, state, counts))
+    return (spark.read.parquet(counts).groupBy("entity", "rule")
+            .agg(F.sum("violations").alias("violations")))
+
+
 @table_query
 def stream_daily(spark, folder):
     """Days that the watermark has closed: all but the last week."""
