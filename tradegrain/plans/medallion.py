@@ -100,7 +100,10 @@ def drift(raw: dict[str, DataFrame], specs: dict[str, Entity]) -> DataFrame:
 
 def field_of(name: str, kind: str) -> Column:
     """A field of the bronze documents as `kind`; NULL where it is absent or of another type."""
-    return F.try_variant_get(DOCUMENT, "$['{}']".format(name.replace("'", "\\'")), kind)
+    quote = '"' if "'" in name else "'"
+    if quote in name:
+        raise ValueError(f"no path can name a field with both quotes: {name}")
+    return F.try_variant_get(DOCUMENT, f"$[{quote}{name}{quote}]", kind)
 
 
 def normalise(raw: DataFrame, entity: Entity, beside: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from tradegrain.functions import slug
 from tradegrain.operators import changes, grain, keys, rules
 from tradegrain.operators.next_best import next_best
 from tradegrain.operators.scales import add_scales
-from tradegrain.plans import medallion, sales_rules, serving
+from tradegrain.plans import maintained, medallion, sales_rules, serving
 from tradegrain.plans import scorecard as cards
 from tradegrain.plans.sales_metrics import margin_by_segment, sales_metrics
 from tradegrain.session import scratch_path, settle
@@ -24,7 +24,7 @@ from tradegrain.sources.json_files import CORRUPT, read_json
 from tradegrain.sources.landing import land, landed_report
 from tradegrain.sources.star import Star, load_star, table
 from tradegrain.sources.tables import read_table, replace_table
-from tradegrain.streaming import jobs
+from tradegrain.streaming import jobs, rolling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -514,6 +514,42 @@ def rebuilt_table(star):
     return read_table(star.customers.sparkSession, name)
 
 
+def _maintained(star: Star) -> maintained.Refreshed:
+    """Gold of three months ago, with lines loaded wrongly, after the changes since."""
+    new, old = star.lines.agg(F.max("order_date").alias("d")).select(
+        "d", F.add_months("d", -3)).first()
+    number, lines = F.col("order_id"), star.lines
+    early = lines.where(F.col("order_date") <= F.lit(old))
+    wrong = early.where(number % 89 == 0)
+    misread = wrong.withColumn("quantity", (F.col("quantity") + 1).cast("int"))
+    strangers = (early.where(number % 97 == 0)
+                 .withColumn("order_date", F.date_sub("order_date", 400)))
+    before = early.where(number % 89 != 0).unionByName(misread).unionByName(strangers)
+    changes_made = (
+        lines.where(F.col("order_date") > F.lit(old)).unionByName(wrong)
+        .withColumn("op", F.lit("INSERT"))
+        .unionByName(misread.unionByName(strangers).withColumn("op", F.lit("DELETE"))))
+    stock = settle(maintained.build_stock(before, old), "stock")
+    gold = settle(grain.customer_rollup(maintained.grain_of(stock, star.products)), "gold")
+    return maintained.refresh(stock, gold, star.products, before, lines, changes_made, old, new)
+
+
+@query
+def gold_maintained(star):
+    """Sums, dates and top categories per customer, kept current through changes of lines."""
+    return _maintained(star).gold
+
+
+@query
+def stock_maintained(star):
+    """The grain under them."""
+    stock = maintained.grain_of(_maintained(star).stock, star.products)
+    return stock.select("customer_id", "product_id", "orders", "units",
+                        F.round("revenue", 2).alias("revenue"), "first_order_date",
+                        "last_order_date", "r12_orders",
+                        F.round("r12_revenue", 2).alias("r12_revenue"))
+
+
 # --- serving -------------------------------------------------------------------------------
 
 def _rolling_at(star: Star, day) -> DataFrame:
@@ -772,6 +808,15 @@ def stream_monthly(spark, folder):
             .withColumn("revenue", F.round("revenue", 2)))
 
 
+@table_query
+def stream_rolling(spark, folder):
+    """Sums of the twelve months before the watermark, 30 days behind the last line."""
+    out, state = scratch_path(spark, "rolling"), scratch_path(spark, "state")
+    jobs.finish(rolling.publish_rolling(_line_stream(spark, folder), "30 days", out, state))
+    return (rolling.current_rolling(spark.read.parquet(out))
+            .withColumn("r12_revenue", F.round("r12_revenue", 2)))
+
+
 @table_query
 def stream_upsert(spark, folder):
     history, state = scratch_path(spark, "history"), scratch_path(spark, "state")
