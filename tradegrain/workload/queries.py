@@ -14,8 +14,9 @@ from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 from tradegrain.functions import slug
 from tradegrain.operators import changes, grain, keys, rules
 from tradegrain.operators.next_best import next_best
+from tradegrain.operators.ranks import add_ranks
 from tradegrain.operators.scales import add_scales
-from tradegrain.plans import maintained, medallion, sales_rules, serving
+from tradegrain.plans import distinct_counts, maintained, medallion, sales_rules, serving
 from tradegrain.plans import scorecard as cards
 from tradegrain.plans.sales_metrics import margin_by_segment, sales_metrics
 from tradegrain.session import scratch_path, settle
@@ -246,6 +247,45 @@ def revenue_percentile_in_segment(star):
     return add_scales(card, cards.percentile_scales()[1:], "customer_id")
 
 
+@query
+def revenue_ranks(star):
+    """Unrounded ranks of lifetime revenue, over all customers and within their segment."""
+    card = _activity(star, "segment", "lifetime_revenue")
+    overall = add_ranks(card, "lifetime_revenue", "customer_id")
+    return add_ranks(overall, "lifetime_revenue", "customer_id", ["segment"], "segment_")
+
+
+@query
+def quantity_ranks(star):
+    """Ranks of the lines' quantities, of which there are few, within each month."""
+    lines = star.lines.select("order_id", "product_id", "quantity",
+                              F.trunc("order_date", "MM").alias("order_month"))
+    ranked = add_ranks(lines.withColumn("_row", F.struct("order_id", "product_id")), "quantity",
+                       "_row", ["order_month"])
+    return (ranked.groupBy("order_month", "quantity", "rank", "percent_rank", "cume_dist")
+            .agg(F.count(F.lit(1)).alias("lines")))
+
+
+@query
+def distinct_customers_merged(star):
+    """Distinct customers by three slices, merged from bitmaps by segment, category and month that
+    were built in two loads; the lines are not read again."""
+    rows = (star.lines.join(star.customers.select("customer_id", "segment"), "customer_id", "left")
+            .join(star.products.select("product_id", "category"), "product_id", "left")
+            .withColumn("order_month", F.trunc("order_date", "MM")))
+    fine = ["segment", "category", "order_month"]
+    loads = [distinct_counts.build_bitmaps(rows.where(F.col("order_id") % 2 == i), fine,
+                                           "customer_id") for i in (0, 1)]
+    stored = settle(distinct_counts.add_bitmaps(*loads), "bitmaps")
+    late = F.col("order_month") >= F.lit("1998-01-01").cast("date")
+    slices = [([], None), (["segment"], None), (["category", "order_month"], late)]
+    found = [distinct_counts.distinct_count(stored, names, where, "customers").select(
+        F.lit(i).alias("slice"), *[
+            (F.col(c) if c in names else F.lit(None).cast(stored.schema[c].dataType)).alias(c)
+            for c in fine], "customers") for i, (names, where) in enumerate(slices)]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def at_risk(star):
     card = _activity(star, "recency_days", "frequency_12m")
