@@ -215,7 +215,11 @@ def test_domain_rules(spark, raw, rows):
     assert dict(r[1:] for r in rows(found)) == {"category_known": 1, "cost_in_band": 4}
     odd = lines(spark, line(1, 1, "A", discount="7.5"))
     found = violations(odd, sales_rules.domain_rules_orders(), "orders")
-    assert dict(r[1:] for r in rows(found)) == {"discount_whole": 1, "currency_known": 0}
+    assert dict(r[1:] for r in rows(found)) == {"discount_whole": 1, "discount_known": 1,
+                                                "currency_known": 0}
+    whole = lines(spark, line(1, 1, "A", discount="7"), line(2, 1, "A", discount="15"))
+    found = violations(whole, sales_rules.domain_rules_orders(), "orders")
+    assert dict(r[1:] for r in rows(found))["discount_known"] == 1
 
 
 def test_gold(spark, raw, rows):
