@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -119,15 +120,16 @@ def rolling_only(lines: DataFrame, products: DataFrame, as_of: date | str,
     return rolling(grain_for_one_use(window, products, day, months))
 
 
-def category_rank(grain: DataFrame) -> DataFrame:
-    """Sums per customer and category, numbered by falling revenue, then by category."""
-    sums = grain.groupBy("customer_id", "category").agg(
+def category_rank(grain: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sums per customer and category, numbered by falling revenue, then by category; each `by`
+    apart."""
+    sums = grain.groupBy("customer_id", *by, "category").agg(
         *[F.sum(c).alias(c) for c in ("orders", "priced", "units", "revenue", "profit",
                                       "r12_orders", "r12_revenue", "r12_profit")],
         F.min("first_order_date").alias("first_order_date"),
         F.max("last_order_date").alias("last_order_date"))
-    by_revenue = Window.partitionBy("customer_id").orderBy(F.col("revenue").desc_nulls_last(),
-                                                           F.col("category").asc_nulls_first())
+    by_revenue = Window.partitionBy("customer_id", *by).orderBy(
+        F.col("revenue").desc_nulls_last(), F.col("category").asc_nulls_first())
     return sums.withColumn("rn", F.row_number().over(by_revenue))
 
 
@@ -136,12 +138,12 @@ def top_categories(grain: DataFrame) -> DataFrame:
     return category_rank(grain).filter("rn <= 2").groupBy("customer_id").agg(*_top_two())
 
 
-def customer_rollup(grain: DataFrame) -> DataFrame:
-    """Lifetime, rolling and top-category columns from one pass over the grain.
+def customer_rollup(grain: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Lifetime, rolling and top-category columns from one pass over the grain, each `by` apart.
 
     A window over the few categories of a customer and the final sum share one partitioning.
     """
-    return (category_rank(grain).groupBy("customer_id")
+    return (category_rank(grain, by).groupBy("customer_id", *by)
             .agg(*_lifetime(), *_rolling(), *_top_two()))
 
 

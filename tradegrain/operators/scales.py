@@ -42,9 +42,9 @@ class Scale:
     nulls: Literal["first", "last"] = "first"
 
 
-def ntile(name: str, key: Column, tiles: int,
-          nulls: Literal["first", "last"] = "first") -> Scale:
-    """NTILE(tiles) over the ascending key."""
+def ntile(name: str, key: Column, tiles: int, nulls: Literal["first", "last"] = "first",
+          group: str | None = None) -> Scale:
+    """NTILE(tiles) over the ascending key, whole or per group."""
     def level(position: Column, size: Column) -> Column:
         each = F.floor(size / tiles)
         larger = size % tiles                       # the first tiles hold one row more
@@ -52,7 +52,7 @@ def ntile(name: str, key: Column, tiles: int,
         tile = F.when(position < in_larger, F.floor(position / (each + 1))).otherwise(
             larger + F.floor((position - in_larger) / F.greatest(each, F.lit(1))))
         return tile + 1
-    return Scale(name, key, level, 1, tiles, "int", True, nulls=nulls)
+    return Scale(name, key, level, 1, tiles, "int", True, group, nulls)
 
 
 def percentile(name: str, key: Column, group: str | None = None, decimals: int = 1) -> Scale:

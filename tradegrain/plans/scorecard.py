@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from typing import Literal
 
@@ -45,13 +46,15 @@ def base(customers: DataFrame, products: DataFrame, lines: DataFrame,
                   .join(offers, "customer_id", "left"), "base")
 
 
-def activity(customers: DataFrame, rollup: DataFrame, anchor: Column) -> DataFrame:
-    """Every customer with what they did, absent sums as 0, and days since."""
+def activity(customers: DataFrame, rollup: DataFrame, anchor: Column,
+             by: Sequence[str] = ()) -> DataFrame:
+    """Every customer with what they did, absent sums as 0, and days since; each `by`, a column
+    of both tables, apart."""
     zero = F.lit(0)
     revenue, profit = F.col("lifetime_revenue"), F.col("lifetime_profit")
     r12_revenue, r12_profit = F.col("r12_revenue"), F.col("r12_profit")
-    return customers.join(rollup, "customer_id", "left").select(
-        "customer_id", "customer_name", "region", "segment", "account_manager", "join_date",
+    return customers.join(rollup, ["customer_id", *by], "left").select(
+        *by, "customer_id", "customer_name", "region", "segment", "account_manager", "join_date",
         F.datediff(anchor, "join_date").alias("tenure_days"),
         F.coalesce("lifetime_orders", zero).alias("lifetime_orders"),
         F.coalesce("lifetime_units", zero).alias("lifetime_units"),
@@ -83,25 +86,34 @@ def score(card: DataFrame, nulls: Nulls = "freshest") -> DataFrame:
                     "rfm_cell", "at_risk_flag"))
 
 
-def rfm_scales(nulls: Nulls = "freshest") -> list:
+def rfm_scales(nulls: Nulls = "freshest", group: str | None = None) -> list:
     """Scores 1 to 5; equal values are told apart by the customer id."""
     return [
-        ntile("r_score", -F.col("recency_days"), 5, "last" if nulls == "freshest" else "first"),
-        ntile("f_score", F.col("frequency_12m"), 5),
-        ntile("m_score", F.col("monetary_12m"), 5),
+        ntile("r_score", -F.col("recency_days"), 5, "last" if nulls == "freshest" else "first",
+              group),
+        ntile("f_score", F.col("frequency_12m"), 5, group=group),
+        ntile("m_score", F.col("monetary_12m"), 5, group=group),
     ]
 
 
-def percentile_scales() -> list:
+def percentile_scales(group: str | None = None, segment: str = "segment") -> list:
     revenue = F.col("lifetime_revenue")
-    return [percentile("revenue_percentile", revenue),
-            percentile("revenue_percentile_in_segment", revenue, group="segment")]
+    return [percentile("revenue_percentile", revenue, group),
+            percentile("revenue_percentile_in_segment", revenue, segment)]
 
 
 def at_risk_score(card: DataFrame) -> Column:
     """0.6 of relative recency plus 0.4 of missing relative frequency, out of 100."""
-    most = card.agg(F.struct(F.max("recency_days").alias("recency"),
-                             F.max("frequency_12m").alias("frequency"))).scalar()
+    return relative_risk(card.agg(largest()).scalar())
+
+
+def largest() -> Column:
+    """What recency and frequency are relative to."""
+    return F.struct(F.max("recency_days").alias("recency"),
+                    F.max("frequency_12m").alias("frequency"))
+
+
+def relative_risk(most: Column) -> Column:
     recency = F.try_divide("recency_days", most["recency"])
     frequency = F.try_divide("frequency_12m", most["frequency"])
     return F.round(100 * (0.6 * recency + 0.4 * (1 - frequency)), 1)

@@ -16,7 +16,15 @@ from tradegrain.operators import changes, grain, keys, rules
 from tradegrain.operators.next_best import next_best
 from tradegrain.operators.ranks import add_ranks
 from tradegrain.operators.scales import add_scales
-from tradegrain.plans import distinct_counts, maintained, medallion, sales_rules, serving
+from tradegrain.plans import (
+    card_history,
+    distinct_counts,
+    maintained,
+    medallion,
+    rollups,
+    sales_rules,
+    serving,
+)
 from tradegrain.plans import scorecard as cards
 from tradegrain.plans.sales_metrics import margin_by_segment, sales_metrics
 from tradegrain.session import scratch_path, settle
@@ -25,7 +33,7 @@ from tradegrain.sources.json_files import CORRUPT, read_json
 from tradegrain.sources.landing import land, landed_report
 from tradegrain.sources.star import Star, load_star, table
 from tradegrain.sources.tables import read_table, replace_table
-from tradegrain.streaming import jobs, rolling
+from tradegrain.streaming import jobs, rolling, waiting
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,6 +159,29 @@ def metric_join_keys(star):
                          star.products).repeated_keys()
 
 
+def _stored(star: Star) -> rollups.StoredView:
+    return rollups.store(_view(star), ["Region", "Segment", "Category", "Order Month"],
+                         list(MEASURES))
+
+
+@query
+def metric_stored_filtered(star):
+    """From a stored rollup: the dimensions asked for, and one that is only tested."""
+    found = _stored(star).query(
+        ["Order Month"], list(MEASURES),
+        where={"Region": lambda region: region.isin("ASIA", "EUROPE")},
+        having={"Order Count": lambda lines: lines >= 10})
+    return _named(found, "Order Month")
+
+
+@query
+def metric_stored_slices(star):
+    """Slices, each from the smallest stored rollup that has its dimensions."""
+    found = _stored(star).query_slices([["Region"], ["Category", "Order Month"], []],
+                                       ["Total Revenue", "Total Profit", "Distinct Customers"])
+    return _named(found, "slice", "Region", "Category", "Order Month")
+
+
 # --- scorecard and its parts ---------------------------------------------------------------
 
 def _grain(star: Star) -> DataFrame:
@@ -307,6 +338,7 @@ def scorecard_from_silver(star):
 
 SCORECARD_AS_OF = "1999-06-30"
 EARLY = "1995-03-31"      # most customers have no line until then
+FIRST_JOINED = "1994-01-01"
 
 
 @query
@@ -321,6 +353,15 @@ def scorecard_as_of(star):
                                as_of=SCORECARD_AS_OF).drop("computed_at")
 
 
+CARD_DATES = ("1993-02-28", EARLY, "1996-02-29", "1996-03-31", SCORECARD_AS_OF)
+
+
+@query
+def scorecards_of_dates(star):
+    """Cards of several dates, but for the offer, from one pass over the lines."""
+    return card_history.scorecards(star.customers, star.products, star.lines, CARD_DATES)
+
+
 # --- data quality and the bronze, silver and gold layers -----------------------------------
 
 def _raw(star: Star) -> dict[str, DataFrame]:
@@ -857,6 +898,28 @@ def stream_rolling(spark, folder):
             .withColumn("r12_revenue", F.round("r12_revenue", 2)))
 
 
+@table_query
+def stream_late_customers(spark, folder):
+    """Lines that wait up to 20 days for their customer; none comes in after its first year, so
+    that all lines before are decided once the watermark has passed them."""
+    out, state = scratch_path(spark, "checked"), scratch_path(spark, "state")
+    source = jobs.table_stream(spark, f"{folder}/customer.parquet",
+                               table(spark, folder, "customer").schema)
+    joined = F.date_add(F.lit(FIRST_JOINED).cast("date"), (F.col("c_custkey") % 365).cast("int"))
+    arrivals = source.select(F.col("c_custkey").alias("number"),
+                             joined.cast("timestamp").alias("joined"))
+    lines = (_line_stream(spark, folder).where(F.year("order_date") == 1994)
+             .select("order_id", F.col("customer_id").alias("number"),
+                     F.col("order_date").cast("timestamp").alias("ordered")))
+    checked = waiting.with_late_matches(lines, arrivals, "number", "ordered", "joined",
+                                        "20 days", "1 day 12 hours")
+    jobs.finish(jobs.append_to(checked, out, state))
+    valid, quarantine = waiting.parted(spark.read.parquet(out), "customer_known")
+    return _joined_rules(valid.select("order_id", F.array().cast("array<string>")
+                                      .alias(rules.FAILED))
+                         .unionByName(quarantine.select("order_id", rules.FAILED)))
+
+
 @table_query
 def stream_upsert(spark, folder):
     history, state = scratch_path(spark, "history"), scratch_path(spark, "state")
