@@ -17,6 +17,7 @@ from tradegrain.sources import (
     replace_files,
     replace_table,
 )
+from tradegrain.sources.tables import recover_table
 
 
 def write_lines(folder, *lines):
@@ -95,6 +96,27 @@ def test_replace_table_from_itself_or_not_at_all(spark, rows):
     spark.sql(f"DROP TABLE {name}")
 
 
+@pytest.mark.parametrize("schema", ["", "default."])
+def test_rebuild_cut_off_between_renamings(spark, rows, schema):
+    name = f"{schema}tradegrain_cut_off_test"
+    assert not recover_table(spark, name)
+    replace_table(spark.range(2).toDF("x"), name)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}_old_a")
+    spark.range(5).toDF("x").write.saveAsTable(f"{name}_new_a")
+    assert recover_table(spark, name) and not recover_table(spark, name)
+    assert spark.table(name).count() == 5
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}_old_b")        # its new rows are gone
+    assert recover_table(spark, name)
+    assert spark.table(name).count() == 5
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}_old_c")
+    spark.range(4).toDF("x").write.saveAsTable(f"{name}_new_c")
+    replace_table(spark.range(1).toDF("x"), name)
+    assert rows(spark.table(name)) == [(0,)]
+    assert [t.name for t in spark.catalog.listTables()
+            if t.name.startswith("tradegrain_cut_off")] == ["tradegrain_cut_off_test"]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_replace_table(spark, rows):
     for n in (3, 2):
         replace_table(spark.range(n).toDF("x"), "tradegrain_replace_test", "it's a \\ test")

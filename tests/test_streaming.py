@@ -139,6 +139,25 @@ def test_upsert_over_folded_batches(spark, rows, feed, tmp_path):
     assert copy() == [(1, "B"), (4, "A")]
 
 
+@pytest.mark.parametrize("every", [1, 2])
+def test_folded_outputs_equal_batch(spark, rows, feed, tmp_path, every):
+    entries = [line(i % 9, i % 4 or None, "A", f"2026-0{i % 3 + 1}-15", quantity=i % 5 or 1)
+               for i in range(50)]
+    for start in range(0, 50, 10):
+        folder = feed(*entries[start:start + 10])
+    entity = medallion.entities()["orders"]
+    valid, bad, out = (str(tmp_path / n) for n in ("valid", "bad", "out"))
+    jobs.finish(jobs.silver_stream(stream(spark, folder), entity, valid, bad,
+                                   str(tmp_path / "state"), every=every), 180)
+    batch = medallion.silver(spark.createDataFrame(entries, LINE), entity)
+    assert rows(jobs.current_rows(spark, valid, entity, every)) == rows(batch.table)
+    jobs.finish(jobs.publish_updates(jobs.monthly_revenue(stream(spark, folder)), out,
+                                     str(tmp_path / "state2"), "order_month", every), 180)
+    found = jobs.latest_updates(spark, out, "order_month", every)
+    assert rows(found) == rows(jobs.monthly_revenue(lines(spark, *entries)))
+    assert rows(found) == rows(jobs.latest_updates(spark, out, "order_month"))
+
+
 def test_table_stream_reads_a_folder_or_a_file(spark, rows, tmp_path):
     table = tmp_path / "t.parquet"
     spark.range(4).coalesce(1).write.parquet(str(table))

@@ -47,6 +47,25 @@ def lookup_many(snapshot: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return within.join(F.broadcast(keys) if rows <= BROADCAST_ROWS else keys, key, "left_semi")
 
 
+def publish_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write a snapshot as a catalogued table in buckets of its key, sorted within them, for joins
+    with any number of keys. Choose `buckets` so that a bucket fits a task."""
+    rows = settle(df, "snapshot")
+    require_unique(rows, key)
+    # One task writes a bucket, so that there is one file of each.
+    (rows.repartition(buckets, key).write.format("parquet")
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def lookup_bucketed(snapshot: DataFrame, key: str, wanted: DataFrame, buckets: int) -> DataFrame:
+    """Rows of any number of keys from a table of `publish_bucketed`: the keys, made distinct, are
+    brought to the snapshot's buckets, and the snapshot is read where it lies, without a shuffle."""
+    keys = (wanted.select(F.col(key).cast(snapshot.schema[key].dataType))
+            .filter(F.col(key).isNotNull()).repartition(buckets, key).distinct())
+    return snapshot.join(keys.hint("merge"), key, "left_semi")
+
+
 def append_changes(history_path: str, changes: DataFrame, version: int) -> None:
     """Add a change set under its version; writing the same version again replaces it."""
     changes.write.mode("overwrite").parquet(f"{history_path}/version={version}")

@@ -6,7 +6,7 @@ by default handles what has arrived and stops (`availableNow`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,26 +71,34 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str, delay:
 
 
 def silver_stream(stream: DataFrame, entity: Entity, valid_path: str, quarantine_path: str,
-                  checkpoint: str, counts_path: str | None = None) -> StreamingQuery:
+                  checkpoint: str, counts_path: str | None = None,
+                  every: int = EVERY) -> StreamingQuery:
     """Clean and check each batch, and write its valid and quarantined rows.
 
     The outputs are folders per batch, replaced if the batch is run again. Copies of a key within
     a batch are reduced to one; `current_rows` does the same across batches. In `counts_path` each
-    batch leaves its rows and violations per rule, which were counted as its rows passed by.
+    batch leaves its rows and violations per rule, which were counted as its rows passed by. Every
+    `every` batches the valid rows are folded to one per key.
     """
+    def one_each(rows: DataFrame) -> DataFrame:
+        return keep_one(rows.drop("batch"), [entity.key])
+
     def write(batch: DataFrame, batch_id: int) -> None:
         parts = silver(batch, entity)
         if counts_path:
             _write_batch(counts_of({entity.name: parts}), counts_path, batch_id)
         _write_batch(parts.table, valid_path, batch_id)
         _write_batch(parts.quarantine, quarantine_path, batch_id)
+        _fold(batch.sparkSession, valid_path, batch_id, every, one_each)
 
     return _start(stream.writeStream.foreachBatch(write), checkpoint)
 
 
-def current_rows(spark: SparkSession, valid_path: str, entity: Entity) -> DataFrame:
-    """The silver table over all batches: one row per key, chosen as in the batch pipeline."""
-    return keep_one(spark.read.parquet(valid_path).drop("batch"), [entity.key])
+def current_rows(spark: SparkSession, valid_path: str, entity: Entity,
+                 every: int = EVERY) -> DataFrame:
+    """The silver table over all batches: one row per key, chosen as in the batch pipeline, from
+    the last fold and the batches since."""
+    return keep_one(_since_fold(spark, valid_path, None, every).drop("batch"), [entity.key])
 
 
 def daily_revenue(lines: DataFrame, delay: str) -> DataFrame:
@@ -116,18 +124,29 @@ def monthly_revenue(lines: DataFrame) -> DataFrame:
             .agg(F.sum("revenue").alias("revenue"), F.count("order_id").alias("orders")))
 
 
-def publish_updates(aggregate: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each batch's changed rows of an aggregate under its batch number."""
-    return _start(aggregate.writeStream.outputMode("update")
-                  .foreachBatch(lambda batch, i: _write_batch(batch, path, i)), checkpoint)
+def publish_updates(aggregate: DataFrame, path: str, checkpoint: str, key: str | None = None,
+                    every: int = EVERY) -> StreamingQuery:
+    """Write each batch's changed rows of an aggregate under its batch number. With `key`, every
+    `every` batches the last row per key is folded beside them."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch, path, batch_id)
+        if key is not None:
+            _fold(batch.sparkSession, path, batch_id, every, lambda rows: _last(rows, key))
+
+    return _start(aggregate.writeStream.outputMode("update").foreachBatch(write), checkpoint)
+
 
+def latest_updates(spark: SparkSession, path: str, key: str, every: int | None = None) -> DataFrame:
+    """The last published row per key. `every` is that of a job that folds: only the last fold and
+    the batches since are then read."""
+    return _last(_since_fold(spark, path, None, every) if every else spark.read.parquet(path),
+                 key).drop("batch")
 
-def latest_updates(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The last published row per key."""
-    updates = spark.read.parquet(path)
+
+def _last(updates: DataFrame, key: str) -> DataFrame:
     values = [c for c in updates.columns if c not in (key, "batch")]
     return (updates.groupBy(key).agg(F.max(F.struct("batch", *values)).alias("_last"))
-            .select(key, *[f"_last.{c}" for c in values]))
+            .select(key, *[f"_last.{c}" for c in values], "_last.batch"))
 
 
 def upsert_stream(changes: DataFrame, key: str, order: str, history_path: str,
@@ -170,3 +189,30 @@ def _start(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
 
 def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def _since_fold(spark: SparkSession, path: str, batch_id: int | None, every: int) -> DataFrame:
+    """Rows of the last fold before a batch (by default the last one) and of the batches since.
+    Batches are numbered from 0 without gaps; all calls on a folder take the same `every`."""
+    path = path.rstrip("/")
+    if batch_id is None:
+        batch_id = spark.read.parquet(path).agg(F.max("batch")).first()[0]
+        if batch_id is None:                       # no batch has a row
+            return spark.read.parquet(path)
+    start = max(0, (batch_id - 1) // every * every)
+    since = range(start + 1 if start else 0, batch_id + 1)
+    rows = (spark.read.option("basePath", path)
+            .parquet(*[f"{path}/batch={b}" for b in since]))
+    if not start:
+        return rows
+    return rows.unionByName(spark.read.parquet(f"{path}.folded/upto={start}"),
+                            allowMissingColumns=True)
+
+
+def _fold(spark: SparkSession, path: str, batch_id: int, every: int,
+          one_each: Callable[[DataFrame], DataFrame]) -> None:
+    """Every `every` batches, `one_each` of what is known, written beside the batches. A batch that
+    is run again replaces its fold."""
+    if batch_id and batch_id % every == 0:
+        rows = one_each(_since_fold(spark, path, batch_id, every))
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}.folded/upto={batch_id}")

@@ -13,6 +13,7 @@ from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from tradegrain.functions import slug
 from tradegrain.operators import changes, grain, keys, rules
+from tradegrain.operators.digests import diff_by_digests
 from tradegrain.operators.next_best import next_best
 from tradegrain.operators.ranks import add_ranks
 from tradegrain.operators.scales import add_scales
@@ -633,6 +634,9 @@ def stock_maintained(star):
 
 # --- serving -------------------------------------------------------------------------------
 
+BUCKETS = 16
+
+
 def _rolling_at(star: Star, day) -> DataFrame:
     return grain.rolling_only(star.lines, star.products, day)
 
@@ -648,6 +652,28 @@ def snapshot_diff(star):
     return changes.diff(*_two_snapshots(star), "customer_id", unchanged=True)
 
 
+@query
+def snapshot_diff_by_digests(star):
+    """What changed between the snapshots, of ranges of customers whose digests differ."""
+    return diff_by_digests(*_two_snapshots(star), "customer_id")
+
+
+@table_query
+def corrected_orders(spark, folder):
+    """Changes of a load that priced a hundredth of the order numbers anew, lost some and stamped
+    every row."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    low = F.lit(orders.agg(F.floor(F.max("o_orderkey") / 2)).first()[0])
+    place = (F.col("o_orderkey") - low) * 100
+    loaded = (orders.where(~place.between(0, low) | (F.col("o_orderkey") % 7 != 0))
+              .withColumn("o_totalprice", F.when(place.between(0, low), F.col("o_totalprice") + 1)
+                          .otherwise(F.col("o_totalprice"))))
+    stamps = [d.withColumn("load", F.lit(n)) for n, d in enumerate((orders, loaded))]
+    return (diff_by_digests(*stamps, "o_orderkey", ignore=["load"]).drop("load")
+            .withColumn("o_totalprice", F.round("o_totalprice", 2)))
+
+
 @query
 def apply_changes(star):
     old, new = _two_snapshots(star)
@@ -696,6 +722,16 @@ def point_lookup(star):
     return serving.lookup_many(snapshot, "customer_id", wanted)
 
 
+@query
+def bucketed_lookup(star):
+    """Snapshot rows of the customers that ordered in the last year, from a bucketed table."""
+    name = f"snapshot_{uuid.uuid4().hex}"
+    snapshot = serving.publish_bucketed(grain.lifetime(_grain(star)), name, "customer_id", BUCKETS)
+    last_day = grain.anchor_date(star.lines).scalar()
+    wanted = star.lines.filter(F.col("order_date") > F.add_months(last_day, -12))
+    return serving.lookup_bucketed(snapshot, "customer_id", wanted, BUCKETS)
+
+
 @query
 def key_lookup(star):
     """Snapshot rows of the first and the last customer that ordered, and of a key that no one
@@ -884,8 +920,8 @@ def stream_daily(spark, folder):
 def stream_monthly(spark, folder):
     out, state = scratch_path(spark, "monthly"), scratch_path(spark, "state")
     stream = jobs.monthly_revenue(_line_stream(spark, folder))
-    jobs.finish(jobs.publish_updates(stream, out, state))
-    return (jobs.latest_updates(spark, out, "order_month")
+    jobs.finish(jobs.publish_updates(stream, out, state, "order_month"))
+    return (jobs.latest_updates(spark, out, "order_month", jobs.EVERY)
             .withColumn("revenue", F.round("revenue", 2)))
 
 
