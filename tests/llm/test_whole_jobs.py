@@ -1,5 +1,7 @@
 """Cases that the operators once left out."""
 
+import re
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -119,6 +121,75 @@ def test_license_of_a_sibling(spark, text, label):
     assert label not in licenses.scan(frame(spark, [text])).first()["labels"].split(",")
 
 
+BODIES = {
+    "isc": """# Permission to use, copy, modify, and/or distribute this software for any purpose
+# with or without fee is hereby granted, provided that the above copyright notice and this
+# permission notice appear in all copies.""",
+    "apache-2.0": """2. Grant of Copyright License. Subject to the terms and conditions of this
+License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge,
+royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly
+display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source
+or Object form.""",
+    "bsd-3": """Neither the name of Blue River Mills nor the names of its contributors may be used
+to endorse or promote products derived from this software without specific prior written
+permission.""",
+    "gpl-3.0": """under the terms of the GNU General Public License as published by the Free
+Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no
+event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial
+applications, and to alter it and redistribute it freely, subject to the following restrictions""",
+}
+
+
+def diagonal_labels(text):
+    """Labels of the passages of a text, by the definition, in plain Python."""
+    words, found = re.findall(r"[a-z0-9]+", text.lower()), set()
+    for passage, label in licenses.PASSAGES.items():
+        own, k = passage.split(), licenses.RUN
+        places = {}
+        for i in range(len(own) - k + 1):
+            places.setdefault(tuple(own[i:i + k]), []).append(i)
+        votes = {}
+        for p in range(len(words) - k + 1):
+            for i in places.get(tuple(words[p:p + k]), []):
+                votes.setdefault(p - i, []).append((p, i))
+        for d in votes:
+            near = [v for e in range(d, d + licenses.RUN_DRIFT + 1) for v in votes.get(e, [])]
+            share = len({i for _, i in near}) / (len(own) - k + 1)
+            length = max(p for p, _ in near) + k - min(p for p, _ in near)
+            if share >= licenses.RUN_SHARE and length <= licenses.STRETCH * len(own):
+                found.add(label)
+    return found
+
+
+@pytest.mark.parametrize("label", list(BODIES))
+def test_license_bodies(spark, label):
+    body = BODIES[label]
+    half = body[:len(body) // 2]
+    found = licenses.scan(frame(spark, [f"int x;\n{body}\nint y;", f"{half} of the river"]))
+    got = {r.doc_id: r for r in found.collect()}
+    assert label in got[0].labels.split(",") and label in {s.label for s in got[0].spans}
+    assert label not in got[1].labels.split(",")
+
+
+def test_passages_equal_plain_votes(spark):
+    texts = []
+    for n, passage in enumerate(list(licenses.PASSAGES) * 3):
+        words = passage.split()
+        for _ in range(n % 7):                     # words changed, put in and left out
+            at = int(RANDOM.integers(0, len(words)))
+            words[at:at + 1] = [["other"], [words[at], "more"], []][RANDOM.integers(0, 3)]
+        texts.append(" ".join(RANDOM.choice(PLAIN, 5).tolist() + words + words[:n % 9]))
+    texts += ["", None, " ".join(" ".join(p.split()[::-1]) for p in licenses.PASSAGES),
+              " ".join(licenses.PASSAGES)]
+    found = {r.doc_id: set(filter(None, r.labels.split(",")))
+             for r in licenses.scan(frame(spark, texts), {}, {}).collect()}
+    assert found == {i: diagonal_labels(t or "") for i, t in enumerate(texts)}
+    assert 15 < sum(map(bool, found.values())) < len(texts) - 15
+
+
 def test_encoder_on_random_marks():
     """Capitals before combining marks, special tokens, signs and white space in any order."""
     path = public_tokenizers.path("word_bpe_49k.json")
