@@ -95,12 +95,15 @@ def test_decontaminate(spark, docs, nothing):
     assert by_row(decontaminate.report(docs, bench), *columns) == sorted(expected, key=repr)
     small = decontaminate.find(docs.select("doc_id", "text"), bench, "f", block_bytes=200)
     assert by_row(small, "doc_id", "f.n_hit") == sorted(((e[0], e[2]) for e in expected), key=repr)
+    assert by_row(small, "doc_id", "f") == by_row(decontaminate.find(
+        docs.select("doc_id", "text"), bench, "f"), "doc_id", "f")
     clean = decontaminate.decontaminate(docs, bench)
     assert clean.columns == docs.columns
     assert clean.count() == sum(not e[-1] for e in expected)
     assert decontaminate.report(nothing, bench).count() == 0
     assert decontaminate.decontaminate(docs, bench.limit(0)).count() == len(TEXTS)
-    longest = decontaminate.longest_matches(docs, bench)
+    longest = decontaminate.longest_matches(docs, bench, block_bytes=200)
+    assert by_row(longest, "*") == by_row(decontaminate.longest_matches(docs, bench), "*")
     assert longest.where("item_id = '1' and item_word = 0").agg({"n_words": "max"}).first()[0] == 25
 
 

@@ -7,8 +7,9 @@ verbatim match and the places of it. Only stretches that could hold a match are
 ends where two neighbouring words never stand together in the benchmark, and stretches shorter
 than the shortest window are left out, since no window fits into them.
 
-The texts stay in place; the benchmark goes to them, in blocks of at most BLOCK_BYTES, each a
-broadcast of its own, so that its size is bounded whatever the benchmark's.
+The texts stay in place; the benchmark goes to them, in blocks of at most BLOCK_BYTES. A benchmark of
+one block takes one pass. A larger one takes a round for each block, so that no more than one is held
+at a time: what a block hits is written before the next one is made, and joined in the end.
 
 Rows: a null text has no words and is clean. Items that are null or have no words match nothing.
 Items that share an id count as one item; items without an id mark words but count as no item.
@@ -18,7 +19,9 @@ Repeated rows and documents without an id are judged one by one like any others.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tradegrain.llm.frames import add_columns, arrow, fresh, text_bytes
+from tradegrain.llm.frames import add_columns, arrow, fresh, quoted, text_bytes
 from tradegrain.llm.words import LETTERS, Words, buffers, each_piece, same_text
+from tradegrain.session import settle
 
 WINDOW = 13            # words
 HIT_SHARE = 20         # contaminated: hit words times this reach all words
@@ -214,56 +218,102 @@ def _piece(words: Words, tests: Tests, hit: np.ndarray, longest: np.ndarray,
                   length[far][which])
 
 
-def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list:
-    """The benchmark as broadcasts of bounded size; by a hash, so that blocks are alike."""
-    items = (benchmark.select("item_id", F.col("text").alias("text"))
-             .where(F.col("text").isNotNull()))
-    count = max(1, math.ceil(2 * text_bytes(items) / block_bytes))
-    context = benchmark.sparkSession.sparkContext
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    return [context.broadcast(Tests.of([tuple(r) for r in items.where(block == i).collect()],
-                                       window)) for i in range(count)]
+class Blocks:
+    """The benchmark in blocks of bounded size; by a hash, so that blocks are alike."""
+
+    def __init__(self, benchmark: DataFrame, window: int, block_bytes: int):
+        self.items = (benchmark.select("item_id", F.col("text").alias("text"))
+                      .where(F.col("text").isNotNull()))
+        self.window = window
+        self.count = max(1, math.ceil(2 * text_bytes(self.items) / block_bytes))
+        self.context = benchmark.sparkSession.sparkContext
+
+    def broadcast(self, number: int):
+        block = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.count))
+        rows = [tuple(r) for r in self.items.where(block == number).collect()]
+        return self.context.broadcast(Tests.of(rows, self.window))
+
+    def rounds(self, one: Callable[..., DataFrame], label: str) -> DataFrame:
+        """The rows of `one`, which takes a block's broadcast, over all blocks; the rows of several
+        are written block by block, and each block is let go once its rows are there."""
+        if self.count == 1:
+            return one(self.broadcast(0))
+        written = []
+        for number in range(self.count):
+            tests = self.broadcast(number)
+            written.append(settle(one(tests), label))
+            tests.destroy()
+        return reduce(DataFrame.unionByName, written)
+
+
+def _found_in(tests):
+    """What one block finds in the texts of a batch."""
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        out = []
+        for _, _, words in each_piece(batch.column(0), LETTERS, lower=True):
+            first = words.first
+            hit = np.zeros(len(words.starts), bool)
+            longest, items = np.zeros(len(first) - 1, np.int64), [set() for _ in first[1:]]
+            _piece(words, tests.value, hit, longest, items)
+            for i in range(len(first) - 1):
+                own = hit[first[i]:first[i + 1]]
+                turns = np.flatnonzero(np.diff(own, prepend=False, append=False))
+                out.append({"n_words": len(own), "n_hit": int(own.sum()),
+                            "longest": int(longest[i]), "items": sorted(items[i]),
+                            "spans": [{"start": s, "end": e} for s, e in
+                                      turns.reshape(-1, 2).tolist()]})
+        return [pa.array(out, FOUND_ARROW)]
+    return compute
+
+
+def _together(batch: pa.RecordBatch) -> list[pa.Array]:
+    """One finding from those of several blocks: lists of spans and of items, words, and longest."""
+    out = []
+    for spans, items, words, longest in zip(*[c.to_pylist() for c in batch.columns]):
+        merged = []
+        for span in sorted((s for part in spans for s in part), key=lambda s: s["start"]):
+            if merged and span["start"] <= merged[-1]["end"]:
+                merged[-1]["end"] = max(merged[-1]["end"], span["end"])
+            else:
+                merged.append(dict(span))
+        out.append({"n_words": words, "n_hit": sum(s["end"] - s["start"] for s in merged),
+                    "longest": longest, "spans": merged,
+                    "items": sorted({i for part in items for i in part})})
+    return [pa.array(out, FOUND_ARROW)]
 
 
 def find(docs: DataFrame, benchmark: DataFrame, found: str, window: int = WINDOW,
          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """`docs` with a column `found` of the fields of FOUND: words, hit words, the longest verbatim
     match, the spans of hit words, and the ids of the items found, sorted as text."""
-    def step(tests, earlier: bool):
-        def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            out = []
-            before = batch.column(1).to_pylist() if earlier else None
-            for low, high, words in each_piece(batch.column(0), LETTERS, lower=True):
-                rows = high - low
-                hit = np.zeros(len(words.starts), bool)
-                longest, items = np.zeros(rows, np.int64), [set() for _ in range(rows)]
-                _piece(words, tests.value, hit, longest, items)
-                first = words.first
-                for i in range(rows):
-                    own = hit[first[i]:first[i + 1]]
-                    if earlier:
-                        old = before[low + i]
-                        for span in old["spans"]:
-                            own[span["start"]:span["end"]] = True
-                        items[i] |= set(old["items"])
-                        longest[i] = max(longest[i], old["longest"])
-                    turns = np.flatnonzero(np.diff(own, prepend=False, append=False))
-                    out.append({"n_words": len(own), "n_hit": int(own.sum()),
-                                "longest": int(longest[i]), "items": sorted(items[i]),
-                                "spans": [{"start": s, "end": e} for s, e in
-                                          turns.reshape(-1, 2).tolist()]})
-            return [pa.array(out, FOUND_ARROW)]
-        return compute
-
-    frame, last = docs, None
-    for tests in blocks(benchmark, window, block_bytes):
-        name = fresh(frame, found)
-        inputs = ["text"] if last is None else ["text", last]
-        frame = add_columns(frame, inputs, StructType([StructField(name, FOUND)]),
-                            step(tests, last is not None))
-        frame = frame if last is None else frame.drop(last)
-        last = name
-    return frame.withColumnRenamed(last, found)
+    blocks = Blocks(benchmark, window, block_bytes)
+    found_type = StructType([StructField(found, FOUND)])
+    if blocks.count == 1:
+        return add_columns(docs, ["text"], found_type, _found_in(blocks.broadcast(0)))
+    # Rows are numbered in the written table, as several rounds must number them alike.
+    row = fresh(docs, "row")
+    numbered_docs = settle(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    texts = numbered_docs.select(F.col(row).alias("row"), "text")
+    part = StructType([StructField("part", FOUND)])
+    parts = blocks.rounds(lambda tests: add_columns(texts, ["text"], part, _found_in(tests))
+                          .select("row", "part.*").where("n_hit > 0"), "hits")
+    hits = parts.groupBy("row").agg(
+        F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"),
+        F.max("n_words").alias("n_words"), F.max("longest").alias("longest"))
+    hits = add_columns(hits, ["spans", "items", "n_words", "longest"], found_type, _together)
+    joined = numbered_docs.join(hits.select(F.col("row").alias(row), *quoted([found])), row, "left")
+    # Texts that no block hits: their words only.
+    joined = add_columns(joined.withColumnRenamed(found, name := fresh(joined, "known")),
+                         ["text", name], found_type, _with_words)
+    return joined.select(*quoted([*docs.columns, found]))
+
+
+def _with_words(batch: pa.RecordBatch) -> list[pa.Array]:
+    """The finding of each text, and for a text without one the number of its words."""
+    lengths = [n for _, _, words in each_piece(batch.column(0), LETTERS, lower=True)
+               for n in words.lengths().tolist()]
+    return [pa.array([known or {"n_words": n, "n_hit": 0, "longest": 0, "spans": [], "items": []}
+                      for n, known in zip(lengths, batch.column(1).to_pylist())], FOUND_ARROW)]
 
 
 FOUND_ARROW = pa.struct([
@@ -326,9 +376,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                          StructField("n_words", LongType()), docs.schema["doc_id"],
                          StructField("word", LongType())])
     narrow = docs.select("doc_id", "text")
-    found = None
-    for tests in blocks(benchmark, window, block_bytes):
-        part = arrow(narrow, step(tests), schema)
-        found = part if found is None else found.unionByName(part)
+    found = Blocks(benchmark, window, block_bytes).rounds(
+        lambda tests: arrow(narrow, step(tests), schema), "matches")
     best = found.groupBy("item_id", "item_word").agg(F.max("n_words").alias("n_words"))
     return found.join(best, ["item_id", "item_word", "n_words"], "left_semi")
