@@ -1,10 +1,14 @@
 """Bronze that loses nothing, silver that accounts for every row, gold that follows changes."""
 
+import os
+import subprocess
+import sys
 from datetime import date, timedelta
 
 import numpy as np
 import pytest
 from frames import LINE, line, lines, products
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -127,6 +131,40 @@ def test_days_leave_when_the_batch_form_drops_them(spark):
             assert rolling.leaves_on(earlier + timedelta(days=1), months) > d
 
 
+@pytest.mark.parametrize("store", [None, "HDFSBackedStateStoreProvider"])
+def test_rolling_stream_finds_its_code_and_store_by_itself(spark, tmp_path, store):
+    """Workers cannot import the package, and the session names another state store or none. A
+    customer's days leave together or apart, and a line without a date counts for nothing."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    code = cloudpickle.dumps(rolling.RollingSums(12))
+    apart = subprocess.run(
+        [sys.executable, "-c", "import sys; from pyspark import cloudpickle;"
+         "made = cloudpickle.loads(sys.stdin.buffer.read()); print(made.months)"],
+        input=code, capture_output=True, cwd=tmp_path,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert apart.stdout.split() == [b"12"], apart.stderr.decode()
+    if store:
+        spark.conf.set(name, f"org.apache.spark.sql.execution.streaming.state.{store}")
+    else:
+        spark.conf.unset(name)
+    kept = spark.conf.get(name, None)
+    try:
+        folder = str(tmp_path / "lines")
+        days = ["2024-01-01", "2024-01-01", "2024-02-01", "2025-01-20", "2025-06-01"]
+        undated = (99, 1, "A", None, *line(99, 1, "A")[4:])
+        lines(spark, *[line(i, 1, "A", d) for i, d in enumerate(days)], undated,
+              line(50, 2, "A", "2024-01-01")).write.parquet(folder)
+        stream = jobs.table_stream(spark, folder, lines(spark, undated).schema)
+        jobs.finish(rolling.publish_rolling(stream, "30 days", str(tmp_path / "out"),
+                                            str(tmp_path / "state")), 120)
+        assert spark.conf.get(name, None) == kept
+    finally:
+        spark.conf.set(name, before)
+    found = rolling.current_rolling(spark.read.parquet(str(tmp_path / "out")))
+    assert [(r[0], r[1], float(r[2])) for r in found.collect()] == [(1, 2, 20.0)]
+
+
 def test_rolling_stream_equals_batch_after_each_batch(spark, tmp_path, same):
     folder = tmp_path / "lines"
     sold = products(spark, *[f"P{i}" for i in range(1, 9)])
