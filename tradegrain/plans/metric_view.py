@@ -1,9 +1,11 @@
 """A semantic layer: named measures by named dimensions over a fact table and its dimensions.
 
-A measure is written over *parts*, line amounts that add up. Because parts add up, the fact
-table may be summed to the keys of the joins before it meets a dimension table that is too
-large to broadcast: the shuffle then carries one row per key and map task instead of one per
-line, and a key that holds a third of the lines collapses before it is sent.
+A measure is written over *parts*, line amounts that add up. Because parts add up, the facts may
+be summed to the key of a dimension table that is too large to broadcast before they meet it, where
+that key is all that is still asked of them: the shuffle then carries one row per key and map task
+instead of one per line, and a key that holds a third of the lines collapses before it is sent.
+The joins are ordered so that this comes about, and facts that keep several keys, whose
+combinations hardly repeat, go to each large table once, with the columns that are still needed.
 """
 
 from __future__ import annotations
@@ -105,26 +107,30 @@ class MetricView:
         slices are computed once and listed under each of their numbers.
 
         The facts are first summed to the finest grain, so that the expansion into one copy
-        per slice happens on that small table and not on the lines.
+        per slice happens on that small table and not on the lines; but not where distinct values
+        are counted, whose grain is nearly that of the lines.
         """
         where, having = where or {}, having or {}
         names = list(dict.fromkeys(name for one in slices for name in one))
         self._check(names, measures, where, having)
         wanted = self._wanted(["slice", *names], measures, having, order_by)
         rows = self._rows_to_sum(names, wanted, where)
-        fine = _sum_up(rows, [c for c in rows.columns if not c.startswith("_t_")],
-                       [c for c in rows.columns if c.startswith("_t_")])
-        keys = {name: F.col(_quoted(name)) for name in names}
+        if not any(c.startswith("_k_") for c in rows.columns):
+            rows = _sum_up(rows, names, [c for c in rows.columns if c.startswith("_t_")])
         numbers: dict[int, list[int]] = {}
         for i, one in enumerate(slices):
             numbers.setdefault(_grouping_id(names, one), []).append(i)
-        sets = [[keys[n] for i, n in enumerate(reversed(names)) if not bits >> i & 1]
-                for bits in numbers]
-        totals = (fine.groupingSets(sets, *keys.values())
-                  .agg(*self._totals(wanted), F.grouping_id().alias("_set")))
+        # Not Spark's grouping sets: rows that lie by a counted key must be known to do so still.
+        copies = rows.withColumn("_set", F.explode(F.array(*map(F.lit, numbers))))
+        left_out = {name: F.col("_set").bitwiseAND(1 << i) != 0
+                    for i, name in enumerate(reversed(names))}
+        copies = copies.withColumns({name: F.when(~left_out[name], F.col(_quoted(name)))
+                                     for name in names})
+        totals = (copies.groupBy("_set", *[F.col(_quoted(name)) for name in names])
+                  .agg(*self._totals(wanted)))
         number = F.create_map(*[x for bits, own in numbers.items()
                                 for x in (F.lit(bits), F.array(*map(F.lit, own)))])
-        totals = totals.withColumn("slice", F.explode(number[F.col("_set").cast("int")]))
+        totals = totals.withColumn("slice", F.explode(number[F.col("_set")]))
         return self._finish(totals, ["slice", *names], measures, wanted, having, order_by)
 
     def cube(self, dimensions: Sequence[str], measures: Sequence[str],
@@ -167,19 +173,38 @@ class MetricView:
             *[F.col(k).alias(f"_k_{k}") for k in keys],
             *[_column(self.dimensions[d].column).alias(d) for d in own],
             *[self.parts[p].alias(f"_p_{p}") for p in parts])
-        large = [j for j in used if self._row_count(j) > self.broadcast_rows]
-        if large:
-            facts = _sum_up(facts, [*[f"_k_{k}" for k in keys], *own],
-                            [f"_p_{p}" for p in parts])
-        for name in used:
+        large = {j for j in used if self._row_count(j) > self.broadcast_rows}
+        selected = {self.dimensions[d].join for d in dimensions}
+        totals = [m for m in self._with_operands(measures) if isinstance(self.measures[m], Total)]
+        # Small tables first; then those whose columns turn parts into totals; then those that only
+        # test; and last the one whose key is counted, as the rows then lie by that key.
+        open_joins = sorted(used, key=lambda j: (
+            j in large, all(j != owner for owner, _ in attributes), j in selected,
+            self.joins[j].fact_key in distinct))
+        amounts, found = [f"_p_{p}" for p in parts], own
+        while True:
+            priced = all(owner not in open_joins for owner, _ in attributes)
+            if priced and amounts and amounts[0].startswith("_p_"):
+                kept = [c for c in facts.columns if not c.startswith(("_p_", "_a_"))]
+                facts = facts.select(*[F.col(_quoted(c)) for c in kept],
+                                     *[self.measures[m].expr.alias(f"_t_{m}") for m in totals])
+                amounts = [f"_t_{m}" for m in totals]
+            if not open_joins:
+                break
+            name = open_joins[0]
+            needed = {self.joins[j].fact_key for j in open_joins} | set(distinct)
+            if name in large and len(needed) == 1 and not found and (
+                    priced or all(owner == name for owner, _ in attributes)):
+                facts = _sum_up(facts, [f"_k_{k}" for k in needed], amounts)
             facts = self._join(facts, name, named, attributes, name in large)
             for d in named:
                 if d in where and self.dimensions[d].join == name:
                     facts = facts.filter(where[d](F.col(_quoted(d))))
-        return facts.select(
-            *[F.col(_quoted(d)) for d in dimensions], *[f"_k_{k}" for k in distinct],
-            *[self.measures[m].expr.alias(f"_t_{m}") for m in self._with_operands(measures)
-              if isinstance(self.measures[m], Total)])
+            found = found + [d for d in dimensions if self.dimensions[d].join == name]
+            open_joins = open_joins[1:]
+        return facts.select(*[F.col(_quoted(d)) for d in dimensions],
+                            *[f"_k_{k}" for k in distinct],
+                            *[F.col(_quoted(a)) for a in amounts])
 
     def _join(self, facts: DataFrame, name: str, dimensions: Iterable[str],
               attributes: Iterable[tuple[str, str]], large: bool) -> DataFrame:
