@@ -79,18 +79,19 @@ def grain_for_one_use(lines: DataFrame, products: DataFrame, as_of: Column,
                       months: int = 12) -> DataFrame:
     """The grain for a view that is taken of it alone, when nothing else reads it.
 
-    Where products are few enough to be sent to the lines, each line is a row of its own: the view
-    then sums them by customer in one shuffle, as pairs of customer and product hardly repeat.
+    Each line is a row of its own: the view then sums them by customer in one shuffle, as pairs of
+    customer and product hardly repeat. Products are sent to the lines where they are few enough;
+    else the lines go to them once, with the columns that the view takes.
     """
-    if products.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        return customer_product_grain(lines, products, as_of, months)
+    known = products.select("product_id", "category", "cost")
+    if products.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
     revenue = line_revenue()
     costed = F.when(revenue.isNotNull(), F.col("quantity")) * F.col("cost")
     recent = F.col("order_date") > rolling_start(as_of, months)
     counted, priced = (F.when(c.isNotNull(), 1).otherwise(0).cast("long")
                        for c in (F.col("order_id"), revenue))
-    return (lines.join(F.broadcast(products.select("product_id", "category", "cost")),
-                       "product_id")
+    return (lines.join(known, "product_id")
             .select("customer_id", "product_id", "category", counted.alias("orders"),
                     priced.alias("priced"), F.col("quantity").cast("long").alias("units"),
                     revenue.alias("revenue"), (revenue - costed).alias("profit"),
