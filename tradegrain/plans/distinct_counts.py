@@ -1,8 +1,9 @@
 """Distinct counts that add up: exact bitmaps of ids at a fine grain, merged to any coarser slice.
 
 An id's bit stands in the bitmap of its bucket of 32,768 ids (4 KB), so a fine slice holds one row
-for each bucket that it has ids in. Bitmaps are built and merged by aggregates that reduce on the
-map side; the lines are read once, when the table is built.
+for each bucket that it has ids in. Ids are made distinct first and go to their slice and bucket as
+they are, at most 32,768 to one, since a bitmap of few ids is far larger than these; bitmaps are
+merged by aggregates that reduce on the map side. The lines are read once, when the table is built.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ BUCKET, BITMAP = "_bucket", "_bitmap"
 def build_bitmaps(rows: DataFrame, dimensions: Sequence[str], ident: str) -> DataFrame:
     """One row per slice of the dimensions and bucket of the whole-number column `ident`; rows
     without one count for nothing."""
-    known = rows.where(F.col(ident).isNotNull())
-    return (known.groupBy(*dimensions, F.bitmap_bucket_number(ident).alias(BUCKET))
+    ids = rows.where(F.col(ident).isNotNull()).select(*dimensions, ident).distinct()
+    apart = ids.withColumn(BUCKET, F.bitmap_bucket_number(ident)).repartition(*dimensions, BUCKET)
+    return (apart.groupBy(*dimensions, BUCKET)
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(ident)).alias(BITMAP)))
 
 

@@ -157,7 +157,12 @@ def _finest(rows: DataFrame, dimensions: Sequence[str], totals: Sequence[str],
     if ident is None:
         return rows.groupBy(*keys).agg(*sums)
     value = F.col(f"`_k_{ident}`")
-    return (rows.groupBy(*keys, F.bitmap_bucket_number(value).alias(BUCKET))
+    # Bitmaps of a few ids are far larger than the ids: so the sums of each id are brought to its
+    # slice and bucket, at most 32,768 of them to one, and only whole bitmaps are made.
+    of_ids = rows.groupBy(*keys, value).agg(*sums)
+    apart = of_ids.withColumn(BUCKET, F.bitmap_bucket_number(value)).repartition(
+        *keys, F.col(BUCKET))
+    return (apart.groupBy(*keys, BUCKET)
             .agg(*sums, F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias(BITMAP)))
 
 
