@@ -127,19 +127,20 @@ def refresh(stock: DataFrame, gold: DataFrame, products: DataFrame, before: Data
     """
     delta = settle(signed_sums(changes, before, was, as_of, months), "delta")
     few = delta.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    near = F.broadcast(delta) if few else delta
-    old = stock.join(near.select(*PAIR), PAIR, "left_semi")
+    # With many changed pairs the stock meets them once: what stays is written beside what changes.
+    old = stock.join(F.broadcast(delta.select(*PAIR)), PAIR, "left_semi") if few else stock
     held = old.select(*PAIR, *[F.col(c).alias(f"_{c}") for c in (*SUMS, *DATES)])
-    joined = delta.join(held, PAIR, "left")
-    sums = {c: F.coalesce(F.col(f"_{c}"), F.lit(0)) + F.col(c) for c in SUMS}
+    joined = delta.withColumn("_changed", F.lit(True)).join(held, PAIR, "left" if few else "full")
+    sums = {c: F.coalesce(F.col(f"_{c}"), F.lit(0)) + F.coalesce(F.col(c), F.lit(0)) for c in SUMS}
     lost = ((F.col("out_first") <= F.coalesce(f"_{DATES[0]}", "out_first"))
             | (F.col("out_last") >= F.coalesce(f"_{DATES[1]}", "out_last")))
-    new = settle(joined.select(
+    met = settle(joined.select(
         *PAIR, *[sums[c].cast(stock.schema[c].dataType).alias(c) for c in SUMS],
         F.least(f"_{DATES[0]}", "put_first").alias(DATES[0]),
         F.greatest(f"_{DATES[1]}", "put_last").alias(DATES[1]),
         F.coalesce(lost, F.lit(False)).alias("_lost"),
-        F.col("_lines").isNotNull().alias("_known")), "touched")
+        F.col("_lines").isNotNull().alias("_known"), "_changed"), "touched")
+    new = met.where("_changed")
 
     orphaned = new.where("_lost and lines > 0").select(*PAIR)
     dates = (after.join(F.broadcast(orphaned) if few else orphaned, PAIR, "left_semi")
@@ -154,12 +155,14 @@ def refresh(stock: DataFrame, gold: DataFrame, products: DataFrame, before: Data
                 F.when(F.col("_lost"), F.col("_last")).otherwise(F.col(DATES[1])).alias(DATES[1]),
                 op.alias(OP))
         .where(~((F.col(OP) == "DELETE") & ~F.col("_known"))), "stock_changes")
-    fresh = (stock.join(F.broadcast(stock_changes.select(*PAIR)) if few
-                        else stock_changes.select(*PAIR), PAIR, "left_anti")
-             .unionByName(stock_changes.where(F.col(OP) != "DELETE").select(*stock.columns)))
+    stays = (stock.join(F.broadcast(stock_changes.select(*PAIR)), PAIR, "left_anti") if few
+             else met.where("_changed is null").select(*stock.columns))
+    fresh = stays.unionByName(
+        stock_changes.where(F.col(OP) != "DELETE").select(*stock.columns))
 
+    # With many, customers are told apart once they are summed, and not in their whole stock.
     customers = stock_changes.select("customer_id").distinct()
-    own = fresh.join(F.broadcast(customers) if few else customers, "customer_id", "left_semi")
+    own = fresh.join(F.broadcast(customers), "customer_id", "left_semi") if few else fresh
     rollup = customer_rollup(grain_of(own, products))
     gold_changes = settle(
         customers.withColumn("_touched", F.lit(True)).join(

@@ -598,9 +598,9 @@ def rebuilt_table(star):
 
 def _maintained(star: Star) -> maintained.Refreshed:
     """Gold of three months ago, with lines loaded wrongly, after the changes since."""
-    new, old = star.lines.agg(F.max("order_date").alias("d")).select(
+    number, lines = F.col("order_id"), settle(star.lines, "lines")    # read many times below
+    new, old = lines.agg(F.max("order_date").alias("d")).select(
         "d", F.add_months("d", -3)).first()
-    number, lines = F.col("order_id"), star.lines
     early = lines.where(F.col("order_date") <= F.lit(old))
     wrong = early.where(number % 89 == 0)
     misread = wrong.withColumn("quantity", (F.col("quantity") + 1).cast("int"))
