@@ -2,6 +2,7 @@
 
 import re
 from datetime import date
+from pathlib import Path
 
 import pytest
 import test_kept_current
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from tradegrain.operators import grain
 from tradegrain.plans import card_history, distinct_counts, maintained, rollups
 from tradegrain.plans.sales_metrics import sales_metrics
+from tradegrain.session import shared_dir
+from tradegrain.sources.star import Star
+from tradegrain.workload import queries
 
 ALL = ["Total Revenue", "Total Profit", "Order Count", "Units Sold", "Distinct Customers"]
 
@@ -100,3 +104,13 @@ def test_many_changed_pairs_meet_the_stock_once(spark, same, monkeypatch, was, a
     monkeypatch.setattr(maintained, "refresh", lambda *a: made.append(refresh(*a)) or made[-1])
     test_kept_current.test_maintained_gold_equals_the_rebuilt_one(spark, same, was, as_of)
     assert "Join" not in made[0].stock._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landed_json_is_compressed(spark):
+    star = Star(customers(spark, 1, 2), products(spark, ("1", "LARGE", "5.00")).drop("launch_date"),
+                lines(spark, line(11, 1, "1"), line(12, 2, "1")))
+    found = queries._json_silver(star)["orders"]
+    assert found.table.count() + found.quarantine.count() == 2
+    folders = Path(shared_dir(spark).removeprefix("file:")).glob("tradegrain/json-orders-*")
+    newest = max(folders, key=lambda f: f.stat().st_mtime)
+    assert {f.suffix for f in newest.glob("part-*")} == {".gz"}

@@ -553,7 +553,7 @@ def _json_silver(star: Star) -> dict[str, medallion.Silver]:
     spark, found = star.lines.sparkSession, {}
     for name, lines in tpch.json_lines(_raw(star)).items():
         folder = scratch_path(spark, f"json-{name}")
-        lines.write.text(folder)
+        lines.write.option("compression", "gzip").text(folder)
         entity = _entity(star, name)
         # Prices come as text, and are parsed when the entity is cleaned.
         schema = StructType([StructField(f.name, StringType() if f.name == "list_price"
