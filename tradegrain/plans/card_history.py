@@ -1,10 +1,10 @@
 """Scorecards of many dates from one pass over the lines.
 
 The dates, and the first days of their rolling windows, cut time into intervals. Lines are summed
-once to customer x product x interval, then to customer x category x interval. What a customer had
-done by an edge is a running sum over its intervals; a rolling sum is the difference of two running
-sums, and both are exact decimals. So a further date costs rows per customer, not a run over
-the lines, and the dates need not be ends of months.
+once to customer x category x interval. What a customer had done by an edge is a running sum over
+its intervals; a rolling sum is the difference of two running sums, and both are exact decimals. So
+a further date costs rows per customer, not a run over the lines, and the dates need not be ends of
+months.
 
 The offer of a next product is not part of these cards: who bought what by each date would be a
 customer x product table per date. `scorecard(as_of=...)` has it for one date.
@@ -89,18 +89,18 @@ def _steps(lines: DataFrame, products: DataFrame, marks: DataFrame) -> DataFrame
                      line_revenue().alias("revenue"))
              .join(F.broadcast(days), "order_date", "left")
              .withColumn("interval", F.coalesce("interval", F.lit(0))))
-    sums = known.groupBy("customer_id", "product_id", "interval").agg(
-        F.count("order_id").alias("orders"), F.count(revenue).alias("priced"),
-        F.sum("quantity").alias("units"), F.sum(revenue).alias("revenue"),
-        F.sum(costed).alias("costed_units"), F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"))
-    profit = revenue - F.col("costed_units") * F.col("cost")
-    return (sums.join(products.select("product_id", "category", "cost"), "product_id")
-            .withColumn("profit", profit)
+    # Pairs of customer and product hardly repeat: lines meet the products as they are.
+    sold = products.select("product_id", "category", "cost")
+    if products.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        sold = F.broadcast(sold)
+    return (known.join(sold, "product_id")
+            .withColumn("profit", revenue - costed * F.col("cost"))
             .groupBy("customer_id", "category", "interval")
-            .agg(*[F.sum(c).alias(c) for c in _SUMS],
-                 F.min("first_order_date").alias("first_order_date"),
-                 F.max("last_order_date").alias("last_order_date")))
+            .agg(F.count("order_id").alias("orders"), F.count(revenue).alias("priced"),
+                 F.sum("quantity").alias("units"), F.sum(revenue).alias("revenue"),
+                 F.sum("profit").alias("profit"),
+                 F.min("order_date").alias("first_order_date"),
+                 F.max("order_date").alias("last_order_date")))
 
 
 def _standing(steps: DataFrame, marks: DataFrame) -> DataFrame:
