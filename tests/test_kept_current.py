@@ -4,8 +4,10 @@ import os
 import subprocess
 import sys
 from datetime import date, timedelta
+from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from frames import LINE, line, lines, products
 from pyspark import cloudpickle
@@ -187,3 +189,66 @@ def test_rolling_stream_equals_batch_after_each_batch(spark, tmp_path, same):
             F.count("order_id").alias("r12_orders"),
             F.sum(F.col("quantity") * F.col("unit_price")).alias("r12_revenue"))
         same(want, found)
+
+
+def test_start_of_window_and_leaving_day_agree():
+    for months in (1, 11, 12, 13, 24):
+        for i in range(1200):
+            day = date(2023, 1, 1) + timedelta(days=i)
+            start = rolling.start_on(day, months)
+            assert rolling.leaves_on(start, months) <= day
+            assert rolling.leaves_on(start + timedelta(days=1), months) > day
+
+
+@pytest.mark.parametrize("kind, first", [("bigint", 2**60), ("string", "")])
+def test_rolling_state_is_kept_by_share(spark, tmp_path, same, kind, first):
+    """The state store holds a row per share, not per customer; large numbers and no number at all
+    stay the customers they are, and a customer whose lines all leave is gone."""
+    schema = LINE.replace("customer_id int", f"customer_id {kind}")
+    folder, out, state = (str(tmp_path / n) for n in ("lines", "out", "state"))
+    names = [None, *(first + (i if kind == "bigint" else str(i)) for i in range(40))]
+    seen = []
+    for i, last in enumerate([date(2024, 2, 29), date(2025, 1, 31), date(2026, 3, 1)]):
+        new = [(1000 * i + k, name, "P1", last - timedelta(days=int(RANDOM.integers(0, 30))),
+                int(RANDOM.integers(-2, 9)), None if k % 9 == 0 else Decimal("1.55"),
+                Decimal(k % 4 * 5), "GBP")
+               for k, name in enumerate(names * 3) if k % 41 == 0 or k % 41 % 3 != i]
+        new.append((None, names[1], "P1", last, 2, Decimal("99999999.99"), Decimal(0), "GBP"))
+        seen += new
+        spark.createDataFrame(new, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = jobs.table_stream(spark, folder, spark.createDataFrame(seen, schema).schema, 1)
+        with rolling._rocksdb(spark):
+            jobs.finish(jobs.publish_updates(
+                rolling.rolling_sums(stream, "35 days", shares=3), out, state), 120)
+            held = spark.read.format("statestore").option("stateVarName", "share").load(state)
+            assert 1 < held.count() <= 4
+        day = max(r[3] for r in seen) - timedelta(days=35)
+        window = spark.createDataFrame(seen, schema).where(
+            F.col("order_date") > F.add_months(F.lit(day), -12))
+        revenue = F.col("quantity") * F.col("unit_price") * (1 - F.col("discount_pct") / 100)
+        want = window.groupBy("customer_id").agg(
+            F.count("order_id").alias("r12_orders"),
+            F.sum(F.coalesce(revenue, F.lit(0))).cast("decimal(38,8)").alias("r12_revenue"))
+        same(want, rolling.current_rolling(spark.read.parquet(out)))
+
+
+def test_rolling_days_are_packed_by_share(monkeypatch):
+    """Rows reach the stateful processor one by one, so there is one for a share and day, and the
+    lines of a customer on it are summed."""
+    money = [Decimal("-3.00000001"), Decimal("12345678901234567890.5"), Decimal(0)]
+    rows = [(k % 4, k % 5, k % 3, 1, k % 2, money[k % 3]) for k in range(240)]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.decimal128(38, 8)]
+    table = pa.table({name: pa.array(values, kind) for name, values, kind in zip(
+        ("share", "customer_id", "day", "lines", "orders", "revenue"), zip(*rows), kinds)})
+    for at_once, packs in ((1000, 1), (120, 2)):
+        monkeypatch.setattr(rolling, "PACKED_ROWS", at_once)
+        found = pa.Table.from_batches(rolling._packed(iter(table.to_batches(max_chunksize=40))))
+        assert len(found) == packs * 12
+        parts = found.to_pandas()
+        back = {}
+        for share, own in parts.groupby("share"):
+            for r in rolling._unpacked(own, False).to_pylist():
+                was = back.get((share, r["customer"], r["day"]), (0, 0, Decimal(0)))
+                back[share, r["customer"], r["day"]] = (
+                    was[0] + r["lines"], was[1] + r["orders"], was[2] + r["revenue"])
+        assert back == {k: (4, 4 * (k[0] % 2), 4 * money[k[2]]) for k in {r[:3] for r in rows}}
